@@ -1,0 +1 @@
+"""Intentionally empty: the trip workload is batch only, it defines no stream to process."""
