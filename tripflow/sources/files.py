@@ -251,6 +251,14 @@ def audit(footers: DataFrame, process_id: str, processed_at: Column | None = Non
     )
 
 
+def write_bytes(path: str, content: bytes) -> None:
+    """Put a small file at any path the audit can read."""
+    file_system, inner = _locate(path)
+    file_system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with file_system.open_output_stream(inner) as out:
+        out.write(content)
+
+
 def file_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
     """MD5 of each file's bytes, read in blocks; UNREADABLE when it cannot be read."""
     return paths_frame(spark, paths).mapInPandas(_hashes, "file_path STRING, file_hash STRING")
