@@ -1,4 +1,4 @@
-"""Numeric helpers: half-up rounding and order-independent sums, both inside codegen."""
+"""Numeric helpers: sums and averages that do not depend on row order, inside codegen."""
 
 from __future__ import annotations
 
@@ -17,22 +17,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round_half_up(value: Column | str, digits: int = 2) -> Column:
-    """Same result as `F.round(double, digits)`, without a BigDecimal for almost every row.
-
-    Away from a tie, `floor(|x| * 10^n + 0.5)` decides the digit exactly; within 1e-4 of a tie, and
-    for very large or non-finite values, the built-in decimal rounding decides.
-    """
-    x = _col(value)
-    scale = float(10**digits)
-    scaled = F.abs(x) * scale
-    below = F.floor(scaled)
-    clear_of_tie = (scaled < 1e11) & (F.abs(scaled - below - 0.5) > 1e-4)
-    units = F.floor(scaled + 0.5)
-    fast = F.when(x < 0, -units).otherwise(units) / scale
-    return F.when(clear_of_tie, fast).otherwise(F.round(x, digits))
-
-
 def exact_sum(value: Column | str) -> Column:
     """Sum of a double column that does not depend on row order or partitioning.
 
@@ -57,4 +41,4 @@ def exact_avg(value: Column | str) -> Column:
 def percentage(part: Column, whole: Column, digits: int = 2) -> Column:
     """part / whole * 100, guarded against an empty whole."""
     ratio = part.cast("double") / F.greatest(whole, F.lit(1)).cast("double") * 100.0
-    return round_half_up(ratio, digits)
+    return F.round(ratio, digits)

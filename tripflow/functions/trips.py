@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..contracts import AIRPORT_LOCATION_IDS, SUSPICIOUS_CONDITIONS, TRIP_KEY
-from .amounts import round_half_up
 
 
 def trip_id() -> Column:
@@ -21,27 +20,27 @@ def trip_id() -> Column:
 def trip_duration_minutes() -> Column:
     """Minutes between whole-second pickup and dropoff; negative if they are swapped."""
     seconds = F.unix_seconds("dropoff_datetime") - F.unix_seconds("pickup_datetime")
-    return round_half_up(seconds / 60.0, 2)
+    return F.round(seconds / 60.0, 2)
 
 
 def average_speed_mph() -> Column:
     """Miles per hour from the rounded duration; NULL without a positive time and distance."""
     hours = F.col("trip_duration_minutes") / 60.0
     moving = (F.col("trip_duration_minutes") > 0) & (F.col("trip_distance") > 0)
-    return round_half_up(F.when(moving, F.try_divide("trip_distance", hours)), 2)
+    return F.round(F.when(moving, F.try_divide("trip_distance", hours)), 2)
 
 
 def fare_per_mile() -> Column:
     """Fare per mile, four decimals; NULL without a positive distance."""
     ratio = F.when(F.col("trip_distance") > 0, F.try_divide("fare_amount", "trip_distance"))
-    return round_half_up(ratio, 4)
+    return F.round(ratio, 4)
 
 
 def tip_percentage() -> Column:
     """Tip as a share of a positive fare, in percent; a NULL tip counts as zero."""
     tip = F.coalesce("tip_amount", F.lit(0.0))
     share = F.when(F.col("fare_amount") > 0, F.try_divide(tip, F.col("fare_amount")) * 100.0)
-    return round_half_up(share, 2)
+    return F.round(share, 2)
 
 
 def is_airport_trip() -> Column:

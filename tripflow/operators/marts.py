@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import published_schema
-from ..functions.amounts import exact_avg, exact_sum, percentage, round_half_up
+from ..functions.amounts import exact_avg, exact_sum, percentage
 
 
 def _mean(column: str):
-    return round_half_up(exact_avg(column), 2)
+    return F.round(exact_avg(column), 2)
 
 
 def gold_trips_clean(valid: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def gold_daily_revenue(valid: DataFrame) -> DataFrame:
     """Revenue and operations per service and pickup day."""
     return valid.groupBy("service_type", F.to_date("pickup_datetime").alias("trip_date")).agg(
         F.count("*").alias("total_trips"),
-        round_half_up(exact_sum("total_amount"), 2).alias("total_revenue"),
+        F.round(exact_sum("total_amount"), 2).alias("total_revenue"),
         _mean("fare_amount").alias("average_fare"),
         _mean("tip_amount").alias("average_tip"),
         _mean("trip_distance").alias("average_trip_distance"),
@@ -38,7 +38,7 @@ def gold_location_performance(valid: DataFrame, min_trips: int = 1) -> DataFrame
         valid.groupBy("service_type", "pickup_location_id", "dropoff_location_id")
         .agg(
             F.count("*").alias("total_trips"),
-            round_half_up(exact_sum("total_amount"), 2).alias("total_revenue"),
+            F.round(exact_sum("total_amount"), 2).alias("total_revenue"),
             _mean("fare_amount").alias("average_fare"),
             _mean("trip_distance").alias("average_distance"),
             _mean("trip_duration_minutes").alias("average_duration"),

@@ -13,6 +13,7 @@ from urllib.parse import quote, unquote, urlparse
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,15 +36,19 @@ FOOTER_FIELDS = [
 PATHS_PER_TASK = 64
 
 
+def plain_path(path: str) -> str:
+    """A local path without its `file:` scheme; any other URI as it is."""
+    return urlparse(path).path if path.startswith("file:") else path
+
+
 # ---------------------------------------------------------------- inside tasks
 
 def _locate(path: str):
     """(file system, path in it) for a local path or a URI."""
     from pyarrow import fs
 
-    scheme = urlparse(path).scheme
-    if scheme in ("", "file"):
-        return fs.LocalFileSystem(), path.removeprefix("file://")
+    if urlparse(path).scheme in ("", "file"):
+        return fs.LocalFileSystem(), plain_path(path)
     return fs.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe=":/=@"))
 
 
@@ -170,14 +175,19 @@ def paths_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def list_parquet(spark: SparkSession, root: str) -> list[str]:
-    """All `*.parquet` files below a folder, empty ones included, sorted."""
-    listing = (
+    """All `*.parquet` files below a folder, empty ones included, sorted; none if it is absent."""
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(root)
     )
-    return sorted(unquote(p).removeprefix("file://") for p in listing.inputFiles())
+    try:
+        listing = reader.load(root)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return sorted(plain_path(unquote(p)) for p in listing.inputFiles())
 
 
 def scan_footers(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -205,7 +215,7 @@ def inventory(
 def _absent(spark, found: DataFrame, raw_dir: str, expected: tuple[ExpectedFile, ...]) -> DataFrame:
     def where(e: ExpectedFile) -> str:
         folders = [f"year={e.year}", f"month={e.month}"] if e.year else []
-        return "/".join([raw_dir.removeprefix("file://").rstrip("/"), e.service_type, *folders, e.file_name])
+        return "/".join([plain_path(raw_dir).rstrip("/"), e.service_type, *folders, e.file_name])
 
     manifest = spark.createDataFrame(
         [(e.file_name, where(e)) for e in expected], "file_name STRING, file_path STRING"

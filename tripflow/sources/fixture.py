@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contracts as C
-from ..functions.amounts import round_half_up
 
 INGESTED_AT = "2024-01-01 00:00:00"
 
@@ -69,7 +68,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tolls_amount": tolls,
         "improvement_surcharge": F.lit(0.3),
         "total_amount": _null_every(
-            239, F.when(part % 241 == 0, F.lit(0.0)).otherwise(round_half_up(fare + tip + tolls, 2))
+            239, F.when(part % 241 == 0, F.lit(0.0)).otherwise(F.round(fare + tip + tolls, 2))
         ),
         "congestion_surcharge": _null_every(3, F.lit(2.5)),
         "airport_fee": F.when(pickup_zone.isin(*C.AIRPORT_LOCATION_IDS), 1.25),
