@@ -1,7 +1,7 @@
 """Bronze to silver: normalisation, trip key, deduplication, derived metrics.
 
-The reference order computes the metrics before removing duplicates; they depend on one row only,
-so they are computed after it here and the deduplication shuffle carries eight columns less.
+The derived metrics depend on one row only, so they need not exist before duplicates are removed;
+computed after it, they keep six columns out of the deduplication shuffle.
 """
 
 from __future__ import annotations
@@ -15,20 +15,31 @@ from ..functions import trips
 from ..functions.amounts import percentage
 
 
+def _strings(df: DataFrame) -> dict[str, Column]:
+    present = [c for c in ("store_and_fwd_flag", "quality_status") if c in df.columns]
+    return {c: F.upper(F.trim(F.col(c))) for c in present}
+
+
+def _amounts(df: DataFrame) -> dict[str, Column]:
+    return {c: F.coalesce(F.col(c), F.lit(0.0)) for c in OPTIONAL_AMOUNTS if c in df.columns}
+
+
+def _period() -> dict[str, Column]:
+    return {"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")}
+
+
 def normalize_strings(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {c: F.upper(F.trim(F.col(c))) for c in ("store_and_fwd_flag", "quality_status") if c in df.columns}
-    )
+    return df.withColumns(_strings(df))
 
 
 def normalize_amounts(df: DataFrame) -> DataFrame:
     """Optional amounts: NULL becomes 0.0. Fares, totals and airport fees keep their NULLs."""
-    return df.fillna(0.0, subset=[c for c in OPTIONAL_AMOUNTS if c in df.columns])
+    return df.withColumns(_amounts(df))
 
 
 def recompute_partitions(df: DataFrame) -> DataFrame:
     """Year and month from the pickup itself, whatever month the file was delivered for."""
-    return df.withColumns({"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")})
+    return df.withColumns(_period())
 
 
 def with_trip_id(df: DataFrame) -> DataFrame:
@@ -36,13 +47,8 @@ def with_trip_id(df: DataFrame) -> DataFrame:
 
 
 def normalize(df: DataFrame) -> DataFrame:
-    """All row-local clean-up, up to and including the trip key."""
-    return (
-        df.transform(normalize_strings)
-        .transform(normalize_amounts)
-        .transform(recompute_partitions)
-        .transform(with_trip_id)
-    )
+    """All row-local clean-up and the trip key, whose parts it leaves alone, in one projection."""
+    return df.withColumns({**_strings(df), **_amounts(df), **_period(), "trip_id": trips.trip_id()})
 
 
 def _keep_order(columns: list[str]) -> list[Column]:
@@ -101,7 +107,7 @@ def with_suspicious_flag(df: DataFrame, limits: Thresholds = Thresholds()) -> Da
     return df.withColumn("is_suspicious_trip", trips.is_suspicious_trip(limits))
 
 
-def with_metrics(df: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
+def with_metrics(df: DataFrame, limits: Thresholds = Thresholds(), **more: Column) -> DataFrame:
     """Derived metrics in three projections, each using only columns of the one before."""
     return (
         df.transform(with_trip_duration)
@@ -111,6 +117,7 @@ def with_metrics(df: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
                 "fare_per_mile": trips.fare_per_mile(),
                 "tip_percentage": trips.tip_percentage(),
                 "is_airport_trip": trips.is_airport_trip(),
+                **more,
             }
         )
         .transform(lambda d: with_suspicious_flag(d, limits))
@@ -122,9 +129,5 @@ def to_silver(
 ) -> DataFrame:
     """The whole enrichment. `processing_date` defaults to today."""
     day = F.current_date() if processing_date is None else processing_date
-    return (
-        bronze.transform(normalize)
-        .transform(dedup_trips)
-        .transform(lambda d: with_metrics(d, limits))
-        .withColumn("processing_date", day)
-    )
+    kept = bronze.transform(normalize).transform(dedup_trips)
+    return with_metrics(kept, limits, processing_date=day)

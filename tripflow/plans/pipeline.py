@@ -53,8 +53,8 @@ def _observed(df: DataFrame, **measures) -> tuple[DataFrame, Observation]:
 def extract(spark: SparkSession, settings: Settings, process_id: str) -> DataFrame:
     """Phase 1: inventory of the raw files and evidence for the unreadable ones."""
     rows = files.inventory(spark, settings.raw, process_id, settings.expected_files)
-    stored = write_run(rows, settings.layer("audit", "inventory"), process_id)
-    write_run(files.file_quarantine(stored), settings.layer("quarantine", "files"), process_id)
+    stored = write_run(rows, settings.layer("audit", "inventory"), process_id, cluster=True)
+    write_run(files.file_quarantine(stored), settings.layer("quarantine", "files"), process_id, cluster=True)
     return stored
 
 
@@ -71,11 +71,12 @@ def to_bronze(spark: SparkSession, settings: Settings, inventory: DataFrame, pro
     """Phases 2-3: diagnose each file, conform the recoverable ones, set the others aside."""
     feed_files = inventory.filter("ingested")
     if settings.deep_validate:
-        decoded = write_run(files.deep_validate(feed_files), settings.layer("audit", "decoded"), process_id)
+        checked = files.deep_validate(feed_files)
+        decoded = write_run(checked, settings.layer("audit", "decoded"), process_id, cluster=True)
         damaged = decoded.filter(F.col("decode_status") != "OK")
         feed_files = feed_files.join(damaged.select("file_path"), "file_path", "left_anti")
     diagnosis = diagnose.diagnose(feed_files, diagnose.contract_fields(spark))
-    stored = write_run(diagnosis, settings.layer("audit", "diagnostics"), process_id)
+    stored = write_run(diagnosis, settings.layer("audit", "diagnostics"), process_id, cluster=True)
     usable = feed_files.join(stored.filter("is_recoverable").select("file_path"), "file_path", "left_semi")
     groups = feeds.feed_groups(spark, usable)
     bronze, failed = feeds.conform_groups(groups)
@@ -86,7 +87,7 @@ def to_bronze(spark: SparkSession, settings: Settings, inventory: DataFrame, pro
         set_aside = set_aside.unionByName(
             files.schema_quarantine(broken.withColumn("is_recoverable", F.lit(False))), allowMissingColumns=True
         )
-    write_run(set_aside, settings.layer("quarantine", "schemas"), process_id)
+    write_run(set_aside, settings.layer("quarantine", "schemas"), process_id, cluster=True)
     if bronze is None:
         return None
     bronze, seen = _observed(bronze, bronze_records=F.count(F.lit(1)))
@@ -137,7 +138,8 @@ def to_gold(spark: SparkSession, settings: Settings, silver: DataFrame, process_
 
     size = {"max_records_per_file": settings.max_records_per_file}
     trips = write("gold_trips_clean", gold, sort_by=("pickup_datetime",), **size)
-    stored_evidence = write("quality_rejected_records", evidence, **size)
+    # each input task rejects a few rows; rebalancing them avoids one small file per task
+    stored_evidence = write("quality_rejected_records", evidence, cluster=True, **size)
     write("gold_daily_revenue", marts.gold_daily_revenue(trips), cluster=True)
     write("gold_location_performance", marts.gold_location_performance(trips), cluster=True)
     metrics = quality.quality_metrics_from(trips, stored_evidence, process_id)

@@ -29,7 +29,7 @@ def publish_layers(spark: SparkSession, settings: Settings) -> list[str]:
     The layers are the tables: no row is copied. Runs accumulate under their `process_id`
     partition; gold folders hold the latest run.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {settings.database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {settings.database} LOCATION '{settings.layer('catalog')}'")
     for table in PUBLISHED_TABLES:
         folder, partitions = LAYOUT[table]
         name = f"{settings.database}.{table}"

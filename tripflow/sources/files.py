@@ -206,22 +206,15 @@ def inventory(
 
     Files on the expected list that are not below `raw_dir` appear as not found.
     """
-    found = scan_footers(spark, list_parquet(spark, raw_dir))
-    if expected:
-        found = found.unionByName(_absent(spark, found, raw_dir, expected), allowMissingColumns=True)
-    return audit(found, process_id, processed_at)
+    present = list_parquet(spark, raw_dir)
+    names = {path.rsplit("/", 1)[-1] for path in present}
+    absent = [_expected_path(raw_dir, e) for e in expected if e.file_name not in names]
+    return audit(scan_footers(spark, present + absent), process_id, processed_at)
 
 
-def _absent(spark, found: DataFrame, raw_dir: str, expected: tuple[ExpectedFile, ...]) -> DataFrame:
-    def where(e: ExpectedFile) -> str:
-        folders = [f"year={e.year}", f"month={e.month}"] if e.year else []
-        return "/".join([plain_path(raw_dir).rstrip("/"), e.service_type, *folders, e.file_name])
-
-    manifest = spark.createDataFrame(
-        [(e.file_name, where(e)) for e in expected], "file_name STRING, file_path STRING"
-    )
-    present = found.select(P.file_name(F.col("file_path")).alias("file_name"))
-    return manifest.join(present, "file_name", "left_anti").select("file_path")
+def _expected_path(raw_dir: str, e: ExpectedFile) -> str:
+    folders = [f"year={e.year}", f"month={e.month}"] if e.year else []
+    return "/".join([plain_path(raw_dir).rstrip("/"), e.service_type, *folders, e.file_name])
 
 
 def audit(footers: DataFrame, process_id: str, processed_at: Column | None = None) -> DataFrame:

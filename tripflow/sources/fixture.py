@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 
+# The columns used, declared so that no footer is read before the query runs.
+LINE_DDL = (
+    "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING"
+)
+ORDER_DDL = "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ"
 INGESTED_AT = "2024-01-01 00:00:00"
 
 
@@ -20,11 +26,8 @@ def _null_every(n: int, value: Column) -> Column:
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical bronze trips (27 columns) over lineitem and orders."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-    )
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = spark.read.schema(LINE_DDL).parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.read.schema(ORDER_DDL).parquet(f"{sf_dir}/orders.parquet")
     part, supp, number = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     fare = F.floor(F.col("l_extendedprice") / 10) / 100.0 - 1
     tip = F.floor(F.col("l_discount") * F.col("l_extendedprice") / 80 * 100) / 100.0
@@ -37,7 +40,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             "service_type"
         ),
         F.expr("o_orderdate + INTERVAL 24 YEARS").alias("base_ts"),
-        F.expr("o_orderdate + INTERVAL 24 YEARS + make_dt_interval(0, 0, l_partkey % 1440)").alias("start_ts"),
+        F.expr("timestampadd(MINUTE, l_partkey % 1440, o_orderdate + INTERVAL 24 YEARS)").alias("start_ts"),
         # some line items arrive twice
         F.explode(
             F.when((F.col("l_orderkey") % 97 == 0) & (number == 1), F.array(F.lit(1), F.lit(2))).otherwise(
@@ -45,7 +48,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("copy"),
     )
-    end_ts = F.expr("start_ts + make_dt_interval(0, 0, (l_suppkey * 7 + l_partkey) % 520 - 20)")
+    end_ts = F.expr("timestampadd(MINUTE, (l_suppkey * 7 + l_partkey) % 520 - 20, start_ts)")
     pickup = _null_every(211, F.col("start_ts").cast("timestamp"))
     pickup_zone = _null_every(227, part % 265 + 1)
     green = F.col("service_type") == "green"
@@ -76,7 +79,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trip_type": F.when(green, 1.0),
         "year": F.year(pickup),
         "month": F.month(pickup),
-        "source_file": F.concat("service_type", F.lit("_tripdata_"), F.date_format("base_ts", "yyyy-MM"), F.lit(".parquet")),
+        "source_file": F.concat("service_type", F.lit("_tripdata_"), F.substring(F.col("base_ts").cast("string"), 1, 7), F.lit(".parquet")),
         "ingestion_timestamp": F.lit(INGESTED_AT).cast("timestamp"),
         "quality_status": F.lit(" pending "),
     }
