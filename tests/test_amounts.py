@@ -35,6 +35,13 @@ def test_noise_is_folded_and_other_values_are_kept(spark):
     assert summed(spark, [float("inf"), 1.0]).s == float("inf")
 
 
+def test_overflow_of_the_integers_falls_back(spark):
+    frame = spark.range(2_000_000).select(F.lit(9e8).alias("x"))
+    for ansi in ("false", "true"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        assert frame.agg(exact_sum("x").alias("s")).first().s == 1.8e15
+
+
 def test_nulls(spark):
     assert summed(spark, [None, 2.0, 4.0]).a == 3.0
     assert tuple(summed(spark, [None, None])) == (None, None)

@@ -8,8 +8,7 @@ import __spark_entry__ as driver
 
 QUERIES, SQL = driver.queries(), driver.oracle_sql()
 WITHOUT_SQL = {
-    "schema_hash", "file_hash", "verification_report", "schema_diagnosis", "file_quarantine", "schema_quarantine",
-    "v4_inventory_status", "inventory_by_status", "problem_files", "inventory_listing",
+    "schema_hash", "file_hash", "file_quarantine", "v4_inventory_status", "inventory_by_status", "problem_files", "inventory_listing",
 }
 
 

@@ -292,6 +292,12 @@ paths AS (
 distinct_paths AS (SELECT file_path, COUNT(*) AS trips FROM paths GROUP BY 1)"""
 
 
+_DELIVERIES = """(SELECT DISTINCT service_type, regexp_extract(source_file, '_(\\d{4})-', 1) AS y,
+    regexp_extract(source_file, '-(\\d{2})\\.', 1) AS m FROM trips)"""
+_LATE_GREEN = "(service_type = 'green' AND y = '2025')"
+_LATE_YELLOW = "(service_type = 'yellow' AND y = '2024')"
+
+
 def _q(body: str, source: str = "trips") -> str:
     return f"WITH {_TRIPS},{_CONFORMED},{_PATHS},{_from(source)}\n{body}"
 
@@ -337,6 +343,40 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY 1, 2, 3, 4, 6
             UNION ALL SELECT 'bad_parquet', NULL, NULL, 'NOT_RECOVERABLE_CORRUPT_METADATA', 0, 0
             UNION ALL SELECT 'bad_parquet', NULL, NULL, 'NOT_RECOVERABLE_EMPTY_FILE', 0, 0"""),
+        "schema_diagnosis": _q(f"""
+            SELECT service_type, y AS partition_year, m AS partition_month, 'DIAGNOSED' AS status,
+              CAST(CASE WHEN service_type = 'fhvhv' THEN 23 WHEN service_type = 'yellow' THEN 19
+                        WHEN {_LATE_GREEN} THEN 19 ELSE 20 END AS INTEGER) AS actual_columns,
+              CAST(CASE service_type WHEN 'fhvhv' THEN 23 WHEN 'yellow' THEN 19 ELSE 20 END AS INTEGER)
+                AS expected_columns,
+              CASE WHEN {_LATE_GREEN} THEN 'total_amount' WHEN {_LATE_YELLOW} THEN 'Airport_fee' ELSE '' END
+                AS missing_columns,
+              CASE WHEN {_LATE_YELLOW} THEN 'cbd_fee' ELSE '' END AS extra_columns,
+              CASE WHEN {_LATE_YELLOW} THEN 'VendorID long integertype()' ELSE '' END AS type_mismatches,
+              CASE WHEN {_LATE_GREEN} THEN 'total_amount' ELSE '' END AS missing_critical,
+              {_LATE_GREEN} OR {_LATE_YELLOW} AS has_issues, NOT ({_LATE_GREEN}) AS is_recoverable
+            FROM {_DELIVERIES}"""),
+        "schema_quarantine": _q(f"""
+            SELECT service_type, y AS partition_year, m AS partition_month, 'total_amount' AS missing_critical,
+              'SCHEMA_NOT_RECOVERABLE_OR_HOMOLOGATION_FAILED' AS quarantine_reason, 'SCHEMA_RECOVERY' AS stage,
+              {AT} AS quarantine_timestamp
+            FROM {_DELIVERIES} WHERE {_LATE_GREEN}"""),
+        "verification_report": _q(
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS query, (SELECT COUNT(*) FROM ({body})) AS rows, 'OK' AS status"
+                for name, body in {
+                    "v1_revenue_by_service": "SELECT DISTINCT service_type FROM gold_trips_clean",
+                    "v2_quality_by_period": "SELECT DISTINCT service_type, year, month FROM gold_trips_clean",
+                    "v3_top_routes": "SELECT DISTINCT pickup_location_id, dropoff_location_id FROM gold_trips_clean LIMIT 20",
+                    "v4_inventory_status": "SELECT DISTINCT service_type FROM trips UNION ALL VALUES ('corrupt'), ('empty')",
+                    "v5_rejection_reasons": "SELECT DISTINCT rejection_rule, service_type FROM quality_rejected_records LIMIT 20",
+                    "v6_top_days": "SELECT DISTINCT service_type, pickup_datetime::DATE FROM gold_trips_clean LIMIT 10",
+                    "v7_suspicious_rate": "SELECT DISTINCT service_type FROM gold_trips_clean",
+                    "v8_date_integrity": "SELECT DISTINCT service_type, year, month FROM gold_trips_clean",
+                }.items()
+            ),
+            "recovered",
+        ),
         "detect_service": _q("""
             SELECT file_path, trips, CASE
                 WHEN contains(lower(file_path), 'yellow') THEN 'yellow'

@@ -22,12 +22,14 @@ def exact_sum(value: Column | str) -> Column:
 
     Amounts that are decimals with up to four places are added as integers (no rounding error, no
     decimal objects, primitive buffers). Any other value is added as a double beside them, so
-    nothing is dropped. NULL only if all inputs are NULL.
+    nothing is dropped; so is everything if the integers of a group overflow (about 9e14). NULL
+    only if all inputs are NULL.
     """
     x = _col(value)
     units = F.rint(x * GRID)
     on_grid = (F.abs(x) < GRID_LIMIT) & (F.abs(units / GRID - x) < GRID_NOISE)
-    grid_part = F.sum(F.when(on_grid, units.cast("long"))) / GRID
+    as_integers = F.try_sum(F.when(on_grid, units.cast("long"))) / GRID
+    grid_part = F.coalesce(as_integers, F.sum(F.when(on_grid, x)))
     rest = F.sum(F.when(~on_grid, x))
     return F.coalesce(grid_part + F.coalesce(rest, F.lit(0.0)), rest)
 

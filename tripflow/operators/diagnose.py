@@ -63,8 +63,7 @@ def diagnose(files: DataFrame, contracts: DataFrame) -> DataFrame:
     columns array<struct<name,type>>. Names are compared in exact case. A file of a feed without a
     contract gets status NO_EXPECTED_SCHEMA and counts as recoverable.
     """
-    by_feed = F.broadcast(_contract_by_feed(contracts))  # one row per feed of the contracts
-    joined = files.join(by_feed, "service_type", "left")
+    joined = files.join(_contract_by_feed(contracts), "service_type", "left")
     actual_names = F.transform("columns", lambda c: c["name"])
     expected_names = F.transform("expected", lambda c: c["name"])
     actual_types = F.map_from_entries("columns")

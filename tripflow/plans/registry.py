@@ -145,6 +145,36 @@ def _diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnose.diagnose(rows, diagnose.contract_fields(spark))
 
 
+def _joined(column: str) -> Column:
+    return F.array_join(column, ",").alias(column)
+
+
+def _by_delivery(diagnosis: DataFrame, *columns: str | Column) -> DataFrame:
+    """A diagnosis per feed and delivery month; the files of one month share one schema here."""
+    path = F.col("file_path")
+    return diagnosis.select(
+        "service_type",
+        paths.partition_value(path, "year").alias("partition_year"),
+        paths.partition_value(path, "month").alias("partition_month"),
+        *columns,
+    ).distinct()
+
+
+def schema_diagnosis(spark, sf_dir):
+    mismatches = F.transform("type_mismatches", lambda m: F.concat_ws(" ", m["column"], m["expected"], m["actual"]))
+    return _by_delivery(
+        _diagnosis(spark, sf_dir),
+        "status", "actual_columns", "expected_columns", _joined("missing_columns"), _joined("extra_columns"),
+        F.array_join(mismatches, ",").alias("type_mismatches"), _joined("missing_critical"),
+        "has_issues", "is_recoverable",
+    )
+
+
+def schema_quarantine(spark, sf_dir):
+    evidence = files.schema_quarantine(_diagnosis(spark, sf_dir), _at())
+    return _by_delivery(evidence, _joined("missing_critical"), "quarantine_reason", "stage", "quarantine_timestamp")
+
+
 def _bronze_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     inventory = _raw_inventory(spark, sf_dir).filter("ingested")
     found = diagnose.diagnose(inventory, diagnose.contract_fields(spark)).filter("is_recoverable")
@@ -427,9 +457,9 @@ def queries() -> dict[str, Query]:
     }
     found |= {f"conform_{s}": _conformed(s) for s in C.SERVICES}
     found |= {
-        "schema_diagnosis": _diagnosis,
+        "schema_diagnosis": schema_diagnosis,
+        "schema_quarantine": schema_quarantine,
         "file_quarantine": lambda s, d: files.file_quarantine(_raw_inventory(s, d), _at()),
-        "schema_quarantine": lambda s, d: files.schema_quarantine(_diagnosis(s, d), _at()),
     }
     inventory_reports = ("v4_inventory_status", "inventory_by_status", "problem_files", "inventory_listing")
     found |= {
