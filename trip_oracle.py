@@ -6,6 +6,8 @@ exactly. Both mirror the semantics documented for the engine.
 
 from __future__ import annotations
 
+from tripflow.contracts import feed_contract
+
 RUN = "ETL-20240101-000000-0000ABCD"
 AT = "TIMESTAMP '2024-01-01 00:00:00'"
 
@@ -298,6 +300,16 @@ _LATE_GREEN = "(service_type = 'green' AND y = '2025')"
 _LATE_YELLOW = "(service_type = 'yellow' AND y = '2024')"
 
 
+_CONTRACT = "(VALUES " + ", ".join(
+    f"('{r['service_type']}', '{r['name']}', '{r['type']}', "
+    + (f"'{r['canonical']}'" if r["canonical"] else "NULL")
+    + f", {str(r['critical']).lower()})"
+    for service in ("yellow", "green", "fhvhv")
+    for r in feed_contract(service)
+) + ") AS v(service_type, name, type, canonical, critical)"
+_CONTRACT = f"(SELECT * FROM {_CONTRACT})"
+
+
 def _q(body: str, source: str = "trips") -> str:
     return f"WITH {_TRIPS},{_CONFORMED},{_PATHS},{_from(source)}\n{body}"
 
@@ -356,6 +368,20 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN {_LATE_GREEN} THEN 'total_amount' ELSE '' END AS missing_critical,
               {_LATE_GREEN} OR {_LATE_YELLOW} AS has_issues, NOT ({_LATE_GREEN}) AS is_recoverable
             FROM {_DELIVERIES}"""),
+        "contract_fields": _q(f"""
+            SELECT c.service_type, c.name, c.type, c.canonical, c.critical, coalesce(n, 0) - coalesce(lost, 0) AS records
+            FROM {_CONTRACT} c
+            LEFT JOIN (SELECT service_type, COUNT(*) AS n FROM trips GROUP BY 1) t ON c.service_type = t.service_type
+            LEFT JOIN (SELECT CASE service_type WHEN 'green' THEN 'total_amount' ELSE 'Airport_fee' END AS name,
+                              service_type, COUNT(*) AS lost
+                       FROM (SELECT *, regexp_extract(source_file, '_(\\d{{4}})-', 1) AS y FROM trips)
+                       WHERE {_LATE_GREEN} OR {_LATE_YELLOW} GROUP BY 1, 2) l
+              ON c.service_type = l.service_type AND c.name = l.name"""),
+        "mapping_matrix": _q(f"""
+            SELECT canonical, MAX(name) FILTER (c.service_type = 'yellow') AS yellow,
+              MAX(name) FILTER (c.service_type = 'green') AS green, MAX(name) FILTER (c.service_type = 'fhvhv') AS fhvhv
+            FROM {_CONTRACT} c JOIN (SELECT DISTINCT service_type FROM trips) t ON c.service_type = t.service_type
+            WHERE canonical IS NOT NULL GROUP BY canonical"""),
         "schema_quarantine": _q(f"""
             SELECT service_type, y AS partition_year, m AS partition_month, 'total_amount' AS missing_critical,
               'SCHEMA_NOT_RECOVERABLE_OR_HOMOLOGATION_FAILED' AS quarantine_reason, 'SCHEMA_RECOVERY' AS stage,

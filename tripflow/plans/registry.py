@@ -170,6 +170,26 @@ def schema_diagnosis(spark, sf_dir):
     )
 
 
+def contract_fields(spark, sf_dir):
+    """Each contract column with the files and records that delivered it."""
+    contracts = diagnose.contract_fields(spark)
+    delivered = (
+        _raw_inventory(spark, sf_dir)
+        .filter("ingested")
+        .select("service_type", "record_count", F.explode("columns").alias("c"))
+        .groupBy("service_type", F.col("c.name").alias("name"))
+        .agg(F.sum("record_count").alias("records"))
+    )
+    return contracts.join(delivered, ["service_type", "name"], "left").withColumn(
+        "records", F.coalesce("records", F.lit(0))
+    )
+
+
+def mapping_matrix(spark, sf_dir):
+    """The mapping matrix, of the columns that arrived in some file."""
+    return diagnose.mapping_matrix(contract_fields(spark, sf_dir).filter("records > 0"))
+
+
 def schema_quarantine(spark, sf_dir):
     evidence = files.schema_quarantine(_diagnosis(spark, sf_dir), _at())
     return _by_delivery(evidence, _joined("missing_critical"), "quarantine_reason", "stage", "quarantine_timestamp")
@@ -457,6 +477,8 @@ def queries() -> dict[str, Query]:
     }
     found |= {f"conform_{s}": _conformed(s) for s in C.SERVICES}
     found |= {
+        "contract_fields": contract_fields,
+        "mapping_matrix": mapping_matrix,
         "schema_diagnosis": schema_diagnosis,
         "schema_quarantine": schema_quarantine,
         "file_quarantine": lambda s, d: files.file_quarantine(_raw_inventory(s, d), _at()),
