@@ -6,7 +6,6 @@ import pytest
 from conftest import one, rows, ts
 
 from tripflow.config import Thresholds
-from tripflow.functions import trips as T
 from tripflow.operators import enrich
 
 
@@ -146,4 +145,3 @@ def test_steps_chain(trips):
     assert rows(frame, "trip_duration_minutes", "average_speed_mph", "fare_per_mile", "tip_percentage") == [
         (30.0, 10.0, 4.0, 10.0)
     ]
-    assert T.is_airport_trip() is not None
