@@ -43,7 +43,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
     compiled = transducer.compiled()
-    both = transducer.decode(transducer.encode(_documents(docs), compiled), compiled)
+    both = transducer.encode_and_decode(_documents(docs), compiled)
     return both.select(
         "doc_id", "lang", "source", "n_chars", F.size("pieces").alias("n_pieces"), "pieces",
         F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"),

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Rows given to Python functions, and back to Spark, at once.
+ROWS = 1000
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder that every executor sees: below spark.checkpoint.dir, or the warehouse where that is unset."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
@@ -57,9 +61,10 @@ def with_columns_by_arrow(df: DataFrame, inputs: Sequence[str | Column], added:
         held: list[pa.RecordBatch] = []
 
         def arguments():
-            for batch in batches:
-                held.append(batch)
-                yield [batch.column(i) for i in range(n_in, batch.num_columns)]
+            for whole in batches:
+                for at in range(0, whole.num_rows, ROWS):
+                    held.append(batch := whole.slice(at, ROWS))
+                    yield [batch.column(i) for i in range(n_in, batch.num_columns)]
 
         for made in work(arguments()):
             batch = held.pop(0)

@@ -42,7 +42,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     compiled = transducer.compiled()
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = transducer.decode(transducer.encode(docs, compiled), compiled)
+    both = transducer.encode_and_decode(docs, compiled)
     ids = F.array_join(F.transform("pieces", lambda i: F.lpad(F.hex(i), 4, "0")), "")
     return both.select(
         "doc_id", F.when(F.col("pieces").isNotNull(), F.size("pieces")).alias("n_pieces"), _sha256(ids).alias("pieces_sha256"),

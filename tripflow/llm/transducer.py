@@ -28,9 +28,8 @@ from .pieces import BYTE, MARK, NORMAL, default_path, read_model
 
 #: Added to the highest piece weight for a character outside the vocabulary, as in the published algorithm.
 UNKNOWN_PENALTY = 10.0
-#: Stretches a worker remembers, and texts that go back to Spark together: both bound memory.
-REMEMBERED = 600_000
-ROWS = 500
+#: Stretches, and pairs of pieces, that a worker remembers; bounds memory.
+REMEMBERED = 300_000
 STRETCH = re.compile(f"{MARK}*[^{MARK}\\n]+|{MARK}+|\\n")
 
 
@@ -148,6 +147,8 @@ class Transducer:
         """The path of finite weight. A text merges in one way, so a place is reached by one accepted path at most: the
         composed graph is a tree, searched longest arcs first, and a place without a way on is not entered again."""
         n, pairs = len(stretch), self._pairs
+        if len(pairs) > REMEMBERED:
+            pairs.clear()
         dead: set[int] = set()
         path: list[tuple[int, int, int]] = []
         open_arcs: list[list[tuple[int, int, float]]] = []
@@ -215,29 +216,43 @@ def compiled(path: str | None = None) -> Transducer:
     return Transducer(*read_model(path or default_path()))
 
 
-def encode(docs: DataFrame, transducer: Transducer, text: str = "text") -> DataFrame:
-    """docs with pieces (array of ids). Null texts give null, empty ones no ids. Rows are independent: nothing is
-    shuffled, repeated rows get equal results, extra columns stay, a column named pieces is replaced."""
+def _work(transducer: Transducer, docs: DataFrame, make):
+    """A function for with_columns_by_arrow: make(encoder, value) gives a row's new values."""
     shared = docs.sparkSession.sparkContext.broadcast((transducer.pieces, transducer.merging))
     key = uuid.uuid4().hex
 
     def work(batches):
         encoder = worker_memory(("encoder", key), lambda: Encoder(Transducer(*shared.value)))
         for (column,) in batches:
-            made = pa.chunked_array([pa.array([None if (x := t.as_py()) is None else encoder.encode(x) for t in column[at : at + ROWS]], pa.list_(pa.int32())) for at in range(0, len(column), ROWS)] or [[]], pa.list_(pa.int32()))
-            yield [made.combine_chunks()]
+            yield [pa.array(x, kind) for x, kind in make(encoder, column)]
+
+    return work
+
+
+def _encoded(encoder: Encoder, column):
+    return [([None if (t := x.as_py()) is None else encoder.encode(t) for x in column], pa.list_(pa.int32()))]
+
+
+def _decoded(encoder: Encoder, column):
+    return [([None if (ids := x.as_py()) is None else encoder.decode(ids) for x in column], pa.string())]
+
 
-    return with_columns_by_arrow(docs, [text], "pieces array<int>", work)
+def _both(encoder: Encoder, column):
+    ((ids, kind),) = _encoded(encoder, column)
+    return [(ids, kind), ([None if x is None else encoder.decode(x) for x in ids], pa.string())]
+
+
+def encode(docs: DataFrame, transducer: Transducer, text: str = "text") -> DataFrame:
+    """docs with pieces (array of ids). Null texts give null, empty ones no ids. Rows are independent: nothing is
+    shuffled, repeated rows get equal results, extra columns stay, a column named pieces is replaced."""
+    return with_columns_by_arrow(docs, [text], "pieces array<int>", _work(transducer, docs, _encoded))
 
 
 def decode(docs: DataFrame, transducer: Transducer, pieces: str = "pieces") -> DataFrame:
-    """docs with decoded (the text of the ids). Null gives null; unknown and control ids write nothing."""
-    shared = docs.sparkSession.sparkContext.broadcast((transducer.pieces, transducer.merging))
-    key = uuid.uuid4().hex
+    """docs with decoded (the text of the ids). Null gives null; control ids write nothing."""
+    return with_columns_by_arrow(docs, [pieces], "decoded string", _work(transducer, docs, _decoded))
 
-    def work(batches):
-        encoder = Encoder(Transducer(*shared.value))
-        for (column,) in batches:
-            yield [pa.array([None if (x := t.as_py()) is None else encoder.decode(x) for t in column], pa.string())]
 
-    return with_columns_by_arrow(docs, [pieces], "decoded string", work)
+def encode_and_decode(docs: DataFrame, transducer: Transducer, text: str = "text") -> DataFrame:
+    """docs with pieces as by `encode` and decoded as by `decode`, in one pass through Python."""
+    return with_columns_by_arrow(docs, [text], "pieces array<int>, decoded string", _work(transducer, docs, _both))
