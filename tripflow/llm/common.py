@@ -34,11 +34,15 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def worker_memory(key: tuple, make: Callable):
-    """What make() gave in this Python worker for this key, in this task or an earlier one. One value per kind (key[0])."""
+    """What make() gave in this Python worker for this key, in this task or an earlier one.
+
+    A worker keeps one value: asking with another key drops it, so operators that follow each other do not add up.
+    """
     memory = sys.__dict__.setdefault("_worker_memory", {})
-    if memory.get(key[0], (None,))[0] != key:
-        memory[key[0]] = (key, make())
-    return memory[key[0]][1]
+    if key not in memory:
+        memory.clear()
+        memory[key] = make()
+    return memory[key]
 
 
 def with_columns_by_arrow(df: DataFrame, inputs: Sequence[str | Column], added: str, work: Callable) -> DataFrame:

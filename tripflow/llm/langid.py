@@ -27,8 +27,8 @@ TRAIN_DOCS = 10_000
 ROUNDS = 2
 SMOOTHING = 0.01
 #: Words scored together, and words a worker remembers: both bound memory.
-CHUNK_CHARS = 2_000_000
-REMEMBERED = 400_000
+CHUNK_CHARS = 1_000_000
+REMEMBERED = 250_000
 RUNS = re.compile(r"[^\W\d_]+")
 
 
@@ -117,6 +117,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         shared = spark.sparkContext.broadcast((pieces, languages, log_p))
 
         def expect(batches, shared=shared):
+            worker_memory(("expect",), dict)  # drops what an earlier operator has left
             pieces, languages, log_p = shared.value
             known = prefixes(pieces)
             sums = np.zeros_like(log_p)
