@@ -55,9 +55,9 @@ RULES = (
 )
 #: A text in which this is not found has no known sentence.
 HINT = r"(?i)licen[cs]e|copyright|\(c\)|©|warrant|redistribut|permission|all rights reserved|provided as is|copy of the|endorse"
-#: Sentence ends: a line end, or a full stop, ! or ? before white space. A line end after any other sign ends no sentence
-#: if the next line goes on in lower case.
-ENDS = r"(?:[.!?](?=[\x20\x09-\x0D])|\n(?![a-z])|\n(?=[\x20\x09-\x0D]*\n))"
+#: Sentence ends: a full stop, ! or ? before white space, or a line end unless the next line goes on, behind spaces and
+#: comment signs, in lower case or with a bracket.
+ENDS = r"(?:[.!?](?=[\x20\x09-\x0D])|\n(?![\x20\x09]*(?:[#*/;%!-]+[\x20\x09]*)?[a-z(]))"
 
 
 def sentences(text: Column) -> Column:
