@@ -195,6 +195,7 @@ STATUS_SUCCESS = "SUCCESS"
 STATUS_EMPTY = "NOT_RECOVERABLE_EMPTY_FILE"
 STATUS_NOT_FOUND = "NOT_RECOVERABLE_FILE_NOT_FOUND"
 STATUS_UNKNOWN = "NOT_RECOVERABLE_UNKNOWN"
+STATUS_MISSING_COLUMNS = "RECOVERABLE_MISSING_COLUMNS"
 
 # Ordered: the first status with a keyword inside the lower-cased message wins.
 READ_ERROR_KEYWORDS = (

@@ -66,10 +66,10 @@ def diagnose(files: DataFrame, contracts: DataFrame) -> DataFrame:
     joined = files.join(_contract_by_feed(contracts), "service_type", "left")
     actual_names = F.transform("columns", lambda c: c["name"])
     expected_names = F.transform("expected", lambda c: c["name"])
-    actual_types = F.map_from_entries("columns")
 
     def actual(c: Column) -> Column:
-        return F.lower(F.try_element_at(actual_types, c["name"]))
+        # the first of them where a file repeats a name
+        return F.lower(F.get(F.filter("columns", lambda x: x["name"] == c["name"]), 0)["type"])
 
     def same_type(c: Column) -> Column:
         # an un-zoned timestamp holds the same instants under the pinned UTC session

@@ -64,5 +64,5 @@ def conform_groups(
         try:
             conformed.append(conform(group.frame, group.service_type, ingested_at=ingested_at))
         except AnalysisException as error:
-            failed.update(dict.fromkeys(group.paths, str(error)[:300]))
+            failed.update(dict.fromkeys(group.paths, str(error)))
     return (union_feeds(conformed) if conformed else None), failed

@@ -220,14 +220,18 @@ def _expected_path(raw_dir: str, e: ExpectedFile) -> str:
 def audit(footers: DataFrame, process_id: str, processed_at: Column | None = None) -> DataFrame:
     """Inventory rows for scanned footers."""
     path, length, error = F.col("file_path"), F.col("length"), F.col("error_message")
+    names = F.transform("columns", lambda c: F.lower(c["name"]))
+    twins = F.coalesce(F.size(F.array_distinct(names)) < F.size(names), F.lit(False))  # no scan can tell them apart
     status = (
         F.when(error.isNotNull(), P.classify_read_error(error))
+        .when(twins, C.STATUS_MISSING_COLUMNS)
         .when(length.isNull(), C.STATUS_NOT_FOUND)
         .when(length == 0, C.STATUS_EMPTY)
         .otherwise(C.STATUS_SUCCESS)
     )
     message = (
-        F.when(error.isNotNull(), F.substring(error, 1, 500))
+        F.when(error.isNotNull(), error)
+        .when(twins, F.concat(F.lit("column names repeat: "), F.array_join(F.array_sort(F.transform("columns", lambda c: c["name"])), ", ")))
         .when(length.isNull(), C.MESSAGE_NOT_FOUND)
         .when(length == 0, C.MESSAGE_EMPTY)
     )

@@ -39,10 +39,9 @@ def write_layer(
     partition_by: tuple[str, ...] = (),
     cluster: bool = False,
     sort_by: tuple[str, ...] = (),
-    per_run: bool = False,
     max_records_per_file: int = 2_000_000,
 ) -> None:
-    """Overwrite a layer, or with `per_run` only the partitions present in `df`.
+    """Overwrite a layer as a whole.
 
     `cluster` adds one shuffle by the partition columns so that a partition is not scattered over a
     file per task. REBALANCE lets adaptive execution merge small partitions and split one that
@@ -54,20 +53,22 @@ def write_layer(
     if sort_by:
         df = df.sortWithinPartitions(*columns, *sort_by)
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-    writer = writer.option("partitionOverwriteMode", "dynamic" if per_run else "static")
+    writer = writer.option("partitionOverwriteMode", "static")
     if columns:
         writer = writer.partitionBy(*columns)
     writer.parquet(path)
 
 
 def write_run(df: DataFrame, path: str, process_id: str, **how) -> DataFrame:
-    """Replace one run's partition of an audit layer; returns that partition as stored.
+    """Replace all that one run has in an audit layer; returns that part as stored.
 
-    Reading it back cuts the plan: later steps start from files, whatever executor is lost.
+    The run's own folder is overwritten as a whole, so rows, and partitions below it, that a rerun no longer
+    has are gone. Reading it back cuts the plan: later steps start from files, whatever executor is lost.
     """
     if "process_id" not in df.columns:
         df = df.withColumn("process_id", F.lit(process_id))
-    partition_by = how.pop("partition_by", ("process_id",))
-    write_layer(df, path, partition_by, per_run=True, **how)
-    stored = read_layer(df.sparkSession, path, schema=df.schema)
-    return stored.filter(F.col("process_id") == process_id)
+    schema = df.schema
+    partition_by = tuple(c for c in how.pop("partition_by", ()) if c != "process_id")
+    write_layer(df.drop("process_id"), f"{path.rstrip('/')}/process_id={process_id}", partition_by, **how)
+    stored = read_layer(df.sparkSession, path, schema=schema)
+    return stored.filter(F.col("process_id") == process_id).select(*schema.names)
