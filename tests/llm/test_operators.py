@@ -290,3 +290,14 @@ def test_chain_gradient_finds_the_labels():
 
 def test_registered_queries_have_numbers():
     assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()] == list(range(1, 11))
+
+
+def test_secret_query_equals_its_sql(spark):
+    import duckdb
+
+    folder = "/root/testdata/sf0.001"
+    got = queries.op6_secret_scan(spark, folder)
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    want = db.sql(queries.oracle_sql()["op6_secret_scan"]).df()
+    assert Counter(map(tuple, got.collect())) == Counter(want[got.columns].itertuples(index=False, name=None))

@@ -58,7 +58,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
     found, _ = secrets.scan(versions)
     spans = secrets.spans_text(F.col("findings"))
-    counts = [F.size(F.filter("findings", lambda x, i=i: x["kind_no"] == i)).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(secrets.RULES)]
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("findings", lambda x: x["kind_no"] == number)).cast("long")
+
+    counts = [count(i).alias(f"n_{r.kind}") for i, r in enumerate(secrets.RULES)]
     # the ledger adds no spans of its own, so base spans are all spans
     return found.select(F.col("path").alias("doc_id"), *counts, _sha256(spans).alias("base_sha256"), spans.alias("spans"))
 
