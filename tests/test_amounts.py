@@ -35,11 +35,13 @@ def test_noise_is_folded_and_other_values_are_kept(spark):
     assert summed(spark, [float("inf"), 1.0]).s == float("inf")
 
 
-def test_overflow_of_the_integers_falls_back(spark):
-    frame = spark.range(2_000_000).select(F.lit(9e8).alias("x"))
-    for ansi in ("false", "true"):
-        spark.conf.set("spark.sql.ansi.enabled", ansi)
-        assert frame.agg(exact_sum("x").alias("s")).first().s == 1.8e15
+def test_totals_beyond_a_long_and_small_parts_do_not_depend_on_partitions(spark):
+    frame = spark.range(2_000_000).select((F.lit(9e8) + F.col("id") / 1e6).alias("x"))
+    expected = float(sum(Decimal(900_000_000) + Decimal(i) / 10**6 for i in range(2_000_000)))
+    for n in (1, 3, 7):
+        assert frame.repartition(n).agg(exact_sum("x").alias("s")).first().s == expected
+    assert summed(spark, [12.340000004] * 3).s == 37.020000012
+    assert summed(spark, [2e9, 0.3, 1e12]).s == 1002000000000.3
 
 
 def test_nulls(spark):

@@ -1,16 +1,12 @@
-"""Numeric helpers: sums and averages that do not depend on row order, inside codegen."""
+"""Numeric helpers: sums and averages that do not depend on row order."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Sums run on integers of this many units per currency unit or mile (four decimals).
-GRID = 10_000.0
-# A double this close to a grid point is that grid point plus floating-point noise.
-GRID_NOISE = 1e-8
-# Beyond this magnitude a double goes through the plain floating-point sum instead.
-GRID_LIMIT = 1e9
+#: Sums run on decimals: 28 digits before the point and 10 behind it.
+EXACT = "decimal(38,10)"
 
 
 def _col(c: Column | str) -> Column:
@@ -20,18 +16,15 @@ def _col(c: Column | str) -> Column:
 def exact_sum(value: Column | str) -> Column:
     """Sum of a double column that does not depend on row order or partitioning.
 
-    Amounts that are decimals with up to four places are added as integers (no rounding error, no
-    decimal objects, primitive buffers). Any other value is added as a double beside them, so
-    nothing is dropped; so is everything if the integers of a group overflow (about 9e14). NULL
-    only if all inputs are NULL.
+    Every finite value is added as a decimal of ten places; a value or total of more than 28 digits is an error (in ANSI
+    mode, which the session sets). NaN and infinities are added beside them, which no order changes, and make the sum
+    theirs. NULL only if all inputs are NULL.
     """
     x = _col(value)
-    units = F.rint(x * GRID)
-    on_grid = (F.abs(x) < GRID_LIMIT) & (F.abs(units / GRID - x) < GRID_NOISE)
-    as_integers = F.try_sum(F.when(on_grid, units.cast("long"))) / GRID
-    grid_part = F.coalesce(as_integers, F.sum(F.when(on_grid, x)))
-    rest = F.sum(F.when(~on_grid, x))
-    return F.coalesce(grid_part + F.coalesce(rest, F.lit(0.0)), rest)
+    finite = ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    total = F.sum(F.when(finite, x).cast(EXACT)).cast("double")
+    odd = F.sum(F.when(~finite, x))
+    return F.coalesce(total + F.coalesce(odd, F.lit(0.0)), odd)
 
 
 def exact_avg(value: Column | str) -> Column:

@@ -7,9 +7,7 @@ so that results are reproducible.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -90,14 +88,9 @@ class Flow:
 _raw_roots: dict[tuple[str, str], str] = {}
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tripflow-")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the session's shared checkpoint folder (a local one only where none is set)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    """A new folder that every executor sees: below spark.checkpoint.dir, or the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tripflow/{name}-{uuid4().hex[:12]}"
 
 
