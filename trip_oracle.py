@@ -387,6 +387,36 @@ def oracle_sql() -> dict[str, str]:
               'SCHEMA_NOT_RECOVERABLE_OR_HOMOLOGATION_FAILED' AS quarantine_reason, 'SCHEMA_RECOVERY' AS stage,
               {AT} AS quarantine_timestamp
             FROM {_DELIVERIES} WHERE {_LATE_GREEN}"""),
+        "file_quarantine": _q(f"""
+            SELECT 'ETL-20240101-000000-0000ABCD' AS process_id, name AS file_name, 'bad_parquet' AS service_type,
+                   status AS read_status, CAST(0 AS BIGINT) AS record_count, {AT} AS quarantine_timestamp,
+                   'EXTRACTION' AS quarantine_stage, action AS recommended_action, FALSE AS is_recoverable
+            FROM (VALUES
+              ('wrong_magic.parquet', 'NOT_RECOVERABLE_CORRUPT_METADATA',
+               'Solicitar re-extracción del archivo fuente. Verificar integridad con parquet-tools.'),
+              ('empty.parquet', 'NOT_RECOVERABLE_EMPTY_FILE',
+               'Verificar en fuente si el mes tiene datos. Podría ser un mes sin viajes.')) AS bad(name, status, action)"""),
+        "problem_files": """
+            SELECT * FROM (VALUES ('empty.parquet', 'NOT_RECOVERABLE_EMPTY_FILE'),
+              ('wrong_magic.parquet', 'NOT_RECOVERABLE_CORRUPT_METADATA')) AS bad(file_name, read_status)""",
+        "v4_inventory_status": _q("""
+            SELECT service_type, 'SUCCESS' AS read_status, COUNT(*) AS records FROM trips GROUP BY 1
+            UNION ALL SELECT 'bad_parquet', 'NOT_RECOVERABLE_CORRUPT_METADATA', 0
+            UNION ALL SELECT 'bad_parquet', 'NOT_RECOVERABLE_EMPTY_FILE', 0"""),
+        "inventory_by_status": _q("""
+            SELECT 'SUCCESS' AS read_status, COUNT(*) AS records FROM trips
+            UNION ALL SELECT 'NOT_RECOVERABLE_CORRUPT_METADATA', 0
+            UNION ALL SELECT 'NOT_RECOVERABLE_EMPTY_FILE', 0"""),
+        "inventory_listing": _q("""
+            SELECT service_type, 'SUCCESS' AS read_status,
+                   CAST(CASE service_type WHEN 'yellow' THEN 19 WHEN 'fhvhv' THEN 23
+                        ELSE CASE WHEN y = '2025' THEN 19 ELSE 20 END END AS INTEGER) AS column_count,
+                   y AS partition_year, m AS partition_month, COUNT(*) AS records
+            FROM (SELECT *, regexp_extract(source_file, '_(\\d{4})-', 1) AS y,
+                         regexp_extract(source_file, '-(\\d{2})\\.', 1) AS m FROM trips)
+            GROUP BY 1, 2, 3, 4, 5
+            UNION ALL SELECT 'bad_parquet', 'NOT_RECOVERABLE_CORRUPT_METADATA', 0, NULL, NULL, 0
+            UNION ALL SELECT 'bad_parquet', 'NOT_RECOVERABLE_EMPTY_FILE', 0, NULL, NULL, 0"""),
         "verification_report": _q(
             " UNION ALL ".join(
                 f"SELECT '{name}' AS query, (SELECT COUNT(*) FROM ({body})) AS rows, 'OK' AS status"
