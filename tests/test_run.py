@@ -145,6 +145,24 @@ def test_load_replaces_only_its_run(spark):
         publish.idempotent_load(spark, evidence(spark, 1).withColumn("x", F.lit(1)), "default.k7", "A")
 
 
+@pytest.mark.parametrize("process_id", ["it's", "a\\b", "{rows}"])
+def test_load_takes_any_run_name(spark, process_id):
+    publish.create_table(spark, "default.k7_names", "quality_rejected_records")
+    for n in (3, 2):
+        assert publish.idempotent_load(spark, evidence(spark, n), "default.k7_names", process_id) == n
+    assert spark.table("default.k7_names").where(F.col("process_id") == process_id).count() == 2
+
+
+def test_failed_metrics_do_not_hide_the_error(spark, tmp_path, monkeypatch):
+    def fail(*_):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(pipeline, "_save_metrics", fail)
+    with pytest.raises(Exception) as caught:
+        pipeline.run(spark, Settings(root=str(tmp_path / "none"), database="no_db"), start=5)
+    assert "disk full" not in str(caught.value) and any("disk full" in n for n in caught.value.__notes__)
+
+
 def test_load_of_a_table_without_runs_replaces_it(spark, lake):
     settings, _ = lake
     publish.create_table(spark, "default.daily", "gold_daily_revenue")

@@ -209,9 +209,12 @@ def run(
         state.status = "SUCCESS"
     except Exception as error:
         state.status, state.error = "FAILED", str(error)
+        try:
+            _save_metrics(spark, settings, state)
+        except Exception as unsaved:  # must not hide what ended the run
+            error.add_note(f"Run metrics were not saved: {unsaved}")
         raise
-    finally:
-        _save_metrics(spark, settings, state)
+    _save_metrics(spark, settings, state)
     return state
 
 

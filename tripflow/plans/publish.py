@@ -23,19 +23,24 @@ def _columns_ddl(table: str) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in published_schema(table))
 
 
+def _literal(text: str) -> str:
+    """SQL literal of a text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def publish_layers(spark: SparkSession, settings: Settings) -> list[str]:
     """Create the six tables over the layer folders, if absent, and pick up their partitions.
 
     The layers are the tables: no row is copied. Runs accumulate under their `process_id`
     partition; gold folders hold the latest run.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {settings.database} LOCATION '{settings.layer('catalog')}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {settings.database} LOCATION {_literal(settings.layer('catalog'))}")
     for table in PUBLISHED_TABLES:
         folder, partitions = LAYOUT[table]
         name = f"{settings.database}.{table}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({_columns_ddl(table)}) USING parquet "
-            f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{settings.layer(folder)}'"
+            f"PARTITIONED BY ({', '.join(partitions)}) LOCATION {_literal(settings.layer(folder))}"
         )
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
         spark.catalog.refreshTable(name)
@@ -45,7 +50,7 @@ def publish_layers(spark: SparkSession, settings: Settings) -> list[str]:
 def create_table(spark: SparkSession, name: str, like: str, location: str | None = None) -> None:
     """A table with the columns of a published one; per-run tables are partitioned by run."""
     per_run = "PARTITIONED BY (process_id)" if "process_id" in published_schema(like).fieldNames() else ""
-    where = f"LOCATION '{location}'" if location else ""
+    where = f"LOCATION {_literal(location)}" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_columns_ddl(like)}) USING parquet {per_run} {where}")
 
 
@@ -77,7 +82,8 @@ def idempotent_load(
             if not (per_run and f.name == "process_id")
         ]
     ).observe(seen, F.count(F.lit(1)).alias("rows"))
-    partition = f"PARTITION (process_id = '{process_id}')" if per_run else ""
+    run = _literal(process_id).replace("{", "{{").replace("}", "}}")  # braces name arguments of spark.sql
+    partition = f"PARTITION (process_id = {run})" if per_run else ""
     spark.sql(f"INSERT OVERWRITE TABLE {table} {partition} SELECT * FROM {{rows}}", rows=rows)
     return seen.get["rows"]
 
