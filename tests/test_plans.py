@@ -90,6 +90,18 @@ def test_ranking_keeps_only_the_top_rows(layers):
     assert nodes(reports.top_routes(gold), "TakeOrderedAndProject") == 1
 
 
+def test_final_stats_read_stored_silver_only(spark):
+    plan = plan_of(registry.queries()["final_stats"](spark, "/root/testdata/sf0.001"))
+    assert "lineitem" not in plan and "Join" not in plan and "Cartesian" not in plan
+
+
+def test_each_report_reads_the_tables_it_names(spark):
+    for name, (table, build) in reports.REPORTS.items():
+        empty = spark.createDataFrame([], reports.PUBLISHED_TABLES[table])
+        assert reports.needs(name) == {table}
+        assert reports.report(name, {table: empty}).count() == build(empty).count()
+
+
 def test_no_python_and_no_unbounded_joins_in_the_flow(layers):
     bronze, _ = layers
     silver = enrich.to_silver(bronze)

@@ -187,9 +187,9 @@ def test_inventory_records_as_text(spark):
 def test_a_broken_report_does_not_stop_the_rest(spark, lake):
     tables = reports.catalog_tables(spark, "lake_db")
     tables["gold_daily_revenue"] = spark.range(1)
-    status = {c.name: c.status[:5] for c in reports.verify(spark, tables)}
+    status = {c.name: c.status[:5] for c in reports.verify(tables)}
     assert status["v6_top_days"] == "ERROR" and status["v8_date_integrity"] == "OK" and len(status) == 8
-    assert reports.verification_frame(spark, reports.verify(spark, tables, ("v1_revenue_by_service",))).first().rows == 1
+    assert reports.verification_frame(spark, reports.verify(tables, ("v1_revenue_by_service",))).first().rows == 1
 
 
 def test_ad_hoc_sql_and_approximate_counts(spark, lake):

@@ -153,7 +153,7 @@ def to_gold(spark: SparkSession, settings: Settings, silver: DataFrame, process_
 def publish_and_verify(spark: SparkSession, settings: Settings, run: Run) -> dict:
     """Phase 7: tables over the layers, then the eight verification reports."""
     publish.publish_layers(spark, settings)
-    run.checks = reports.verify(spark, reports.catalog_tables(spark, settings.database))
+    run.checks = reports.verify(reports.catalog_tables(spark, settings.database))
     frame = reports.verification_frame(spark, run.checks).withColumn("process_id", F.lit(run.process_id))
     write_run(frame, settings.layer("audit", "verification"), run.process_id, cluster=True)
     passed = sum(c.status == "OK" for c in run.checks)

@@ -53,6 +53,13 @@ class Flow:
         """Derived columns of every input trip, without deduplication."""
         return enrich.with_metrics(self.keyed(), LIMITS).select("trip_id", *columns)
 
+    def with_stored_silver(self) -> Flow:
+        """This flow with silver written once, by period; what follows reads it."""
+        target, flow = scratch(self.spark, "silver"), Flow(self.spark, self.sf_dir)
+        write_layer(self.silver(), target, ("service_type", "year", "month"), cluster=True)
+        flow.silver = lambda: self.spark.read.schema(self.silver().schema).parquet(target)
+        return flow
+
     def valid(self) -> DataFrame:
         return quality.valid_trips(self.silver(), RULES)
 
@@ -80,7 +87,7 @@ class Flow:
             "quality_metrics_summary": self.quality,
             "audit_file_inventory": self.inventory,
         }
-        return reports.report(self.spark, name, {t: build[t]() for t in reports.needs(name)})
+        return reports.report(name, {t: build[t]() for t in reports.needs(name)})
 
 
 # ---------------------------------------------------------------- files derived from the tables
@@ -201,7 +208,7 @@ def file_quarantine(spark, sf_dir):
 
 
 def _inventory_report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return reports.report(spark, name, {"audit_file_inventory": _raw_inventory(spark, sf_dir)})
+    return reports.report(name, {"audit_file_inventory": _raw_inventory(spark, sf_dir)})
 
 
 def inventory_listing(spark, sf_dir):
@@ -405,7 +412,9 @@ def bronze_from_files(spark, sf_dir):
 def idempotent_load(spark, sf_dir):
     """Two runs, one of them loaded twice: the table must hold each run once."""
     flow = Flow(spark, sf_dir)
-    rows = flow.evidence().drop("process_id")
+    stored = scratch(spark, "rows")
+    flow.evidence().drop("process_id").write.parquet(stored)
+    rows = spark.read.parquet(stored)
     table = f"evidence_{uuid4().hex[:12]}"
     publish.create_table(spark, table, "quality_rejected_records", scratch(spark, "evidence"))
     for process_id in ("ETL-A", "ETL-B", "ETL-A"):
@@ -415,11 +424,8 @@ def idempotent_load(spark, sf_dir):
 
 def pruned_scan(spark, sf_dir):
     """Silver written by period, read back with a partition filter and three columns."""
-    flow = Flow(spark, sf_dir)
-    target = scratch(spark, "silver")
-    write_layer(flow.silver(), target, ("service_type", "year", "month"), cluster=True)
     return (
-        spark.read.parquet(target)
+        Flow(spark, sf_dir).with_stored_silver().silver()
         .filter((F.col("service_type") == "yellow") & (F.col("year") == 2023))
         .select("pickup_datetime", "total_amount", "trip_distance")
     )
@@ -433,11 +439,16 @@ def verification_report(spark, sf_dir):
 def pipeline_revenue(spark, sf_dir):
     """Revenue by service after a whole run from raw files to published tables."""
     settings, _ = _finished_run(spark, sf_dir)
-    return reports.report(spark, "v1_revenue_by_service", reports.catalog_tables(spark, settings.database))
+    return reports.report("v1_revenue_by_service", reports.catalog_tables(spark, settings.database))
+
+
+def quality_metrics_join(spark, sf_dir):
+    flow = Flow(spark, sf_dir).with_stored_silver()
+    return quality.quality_metrics_from(flow.gold(), flow.evidence(), RUN, _at())
 
 
 def final_stats(spark, sf_dir):
-    return Flow(spark, sf_dir).report("final_stats")
+    return Flow(spark, sf_dir).with_stored_silver().report("final_stats")
 
 
 def _rule_query(rule: quality.Rule) -> Query:
@@ -530,9 +541,7 @@ def queries() -> dict[str, Query]:
         .agg(F.count("*").alias("trips")),
         "rejected_records": lambda s, d: Flow(s, d).evidence(),
         "quality_metrics": lambda s, d: Flow(s, d).quality(),
-        "quality_metrics_join": lambda s, d: quality.quality_metrics_from(
-            Flow(s, d).gold(), Flow(s, d).evidence(), RUN, _at()
-        ),
+        "quality_metrics_join": quality_metrics_join,
         "quality_metrics_by_period": lambda s, d: quality.quality_metrics_by_period(
             Flow(s, d).keyed(), Flow(s, d).silver(), RULES
         ),
