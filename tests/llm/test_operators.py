@@ -262,6 +262,21 @@ def test_pivot_clusters(vectors):
     assert got[701] == [(1, 700, False)] and pivots.clusters(frame.where("false")).count() == 0
 
 
+def test_pivot_clusters_of_a_dense_group(spark):
+    """A third of the rows is one group of different vectors, and there are far fewer pivots than vectors."""
+    rng = np.random.default_rng(8)
+    units = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    center = units(rng.standard_normal((1, 64)))
+    dense = np.sqrt(0.93) * center + np.sqrt(0.07 / 64) * rng.standard_normal((1000, 64))
+    small = np.repeat(units(rng.standard_normal((100, 64))), 4, axis=0) + 0.03 * rng.standard_normal((400, 64))
+    m = units(np.vstack([dense, small, rng.standard_normal((1600, 64))]))
+    near = (m @ m.T >= 0.9) & ~np.eye(len(m), dtype=bool)
+    want = roots(len(m), list(zip(*np.nonzero(np.triu(near)), strict=True)))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pivots.clusters(frame, n_pivots=256).collect()}
+    assert got == {i: (near[i].sum(), want[i]) for i in range(len(m))} and near[:1000].sum() > 500_000
+
+
 PAGE = (
     '<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">Menu</a></li></ul></nav>'
     '<!-- ad --><div class="ad">Buy this now.</div><article><h1>Title &amp; more</h1><p><b>First  paragraph\nhere.<br><p>Second &eacute; one.</p>{extra}</article><footer>&copy; me</footer></body></html>'

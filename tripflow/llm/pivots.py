@@ -1,8 +1,9 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
-A bounded set of reference points (pivots) is drawn from the vectors. Each vector is described by its nearest pivots, in
-order. An inverted list per pivot holds the vectors near it; two vectors that meet in a list are candidates if they
-share enough pivots, and become a link if their cosine in double precision reaches the threshold.
+A bounded set of reference points (pivots) is drawn from the vectors and thinned, so that a dense group, however large,
+keeps few pivots and its members describe themselves by the same ones. Each vector is described by its nearest pivots, in
+order. An inverted list per pivot holds the vectors near it; all vectors of a list meet, and two become a link if their
+cosine in double precision reaches the threshold. Where no more pivots are left than describe a vector, all vectors meet.
 
 Equal vectors are one class before anything is compared. Lists are cut into chunks of bounded size, and the chunks of a
 list meet two by two, so a pivot near a third of all vectors is many tasks. A pair is counted in the list of the first
@@ -23,8 +24,8 @@ from .vectors import matrix, usable
 COSINE = 0.9
 #: Bound on the pivots, picked by hash; it bounds what the driver sends to tasks.
 PIVOTS = 1024
-#: Pivots that describe a vector, and pivots that a pair must share. Chosen for a recall of 1.0 on the test tables.
-NEAREST, SHARED = 16, 2
+#: Pivots that describe a vector. Chosen for a recall of 1.0 on the test tables.
+NEAREST = 16
 CHUNK = 2048
 SEED = 23
 
@@ -34,6 +35,20 @@ def describe(unit: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) -> np
     return np.argsort(-(unit @ pivots.T), axis=1, kind="stable")[:, :nearest].astype(np.int32)
 
 
+def units(v: np.ndarray) -> np.ndarray:
+    scaled = v / np.abs(v).max(axis=1)[:, None]  # keeps squares in range
+    return scaled / np.sqrt((scaled**2).sum(axis=1))[:, None]
+
+
+def thinned(pivots: np.ndarray, closest: float) -> np.ndarray:
+    """The pivots in order, without those at cosine closest or more to one that was kept."""
+    left, kept = np.arange(len(pivots)), []
+    while len(left):
+        kept.append(left[0])
+        left = left[1:][pivots[left[1:]] @ pivots[left[0]] < closest]
+    return pivots[kept]
+
+
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (node, smallest node of its component) of the graph of n nodes, for the nodes that have a link."""
     label = np.arange(n)
@@ -70,7 +85,8 @@ def clusters(
     by_dim: dict[int, list] = {}
     for r in drawn.select("dim", "v").collect():
         by_dim.setdefault(r["dim"], []).append(r["v"])
-    pivots = {d: (p := np.array(v)) / np.linalg.norm(p, axis=1)[:, None] for d, v in by_dim.items()}
+    # twice the squared distance of the farthest linked pair
+    pivots = {d: thinned(units(np.array(v)), 2 * cosine - 1) for d, v in by_dim.items()}
     shared = spark.sparkContext.broadcast(pivots)
 
     def post(batches):
@@ -78,11 +94,9 @@ def clusters(
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                v = matrix(part.column("v"))
-                scaled = v / np.abs(v).max(axis=1)[:, None]  # keeps squares in range
-                unit = scaled / np.sqrt((scaled**2).sum(axis=1))[:, None]
+                unit = units(matrix(part.column("v")))
                 reference = shared.value.get(int(dim), unit[:0])
-                order = describe(unit, reference) if len(reference) else np.zeros((len(v), 1), dtype=np.int32)
+                order = describe(unit, reference) if len(reference) > NEAREST else np.zeros((len(unit), 1), dtype=np.int32)
                 lists = pa.array(list(order), pa.list_(pa.int32()))
                 made = pa.array(list(unit), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([part.column("rep"), part.column("copies"), part.column("dim"), made, lists], names=["rep", "copies", "dim", "u", "near"])
@@ -103,24 +117,21 @@ def clusters(
         pivot, i, j = (key[x].as_py() for x in (1, 2, 3))
         rep, copies, at = table["rep"].to_numpy(), table["copies"].to_numpy(), table["chunk"].to_numpy()
         u, near = matrix(table["u"].combine_chunks()), matrix(table["near"].combine_chunks())
-        member = np.zeros((len(rep), int(near.max()) + 1), dtype=np.float32)
-        np.put_along_axis(member, near.astype(np.int64), 1.0, axis=1)
-        first = member.copy()
-        first[:, pivot:] = 0  # pivots before this one: a pair that shares one of them is another list's
+        member = np.zeros((len(rep), int(near.max()) + 1), dtype=bool)
+        np.put_along_axis(member, near.astype(np.int64), True, axis=1)
+        first = np.packbits(member[:, :pivot], axis=1)  # pivots before this one: a pair that shares one of them is another list's
         one, other = np.flatnonzero(at == i), np.flatnonzero(at == j)
         count = np.zeros(len(rep), dtype=np.int64)
         found_a, found_b = [], []
-        needed = min(SHARED, near.shape[1])
         for s in range(0, len(one), 512):
             some = one[s : s + 512]
-            together = member[some] @ member[other].T
-            candidate = (together >= needed) & ((first[some] @ first[other].T) == 0)
+            candidate = u[some] @ u[other].T >= cosine - 1e-9  # a product of matrices may round otherwise
             if i == j:
                 candidate &= rep[some][:, None] < rep[other]
             a, b = np.nonzero(candidate)
             for t in range(0, len(a), 200_000):
                 x, y = some[a[t : t + 200_000]], other[b[t : t + 200_000]]
-                good = np.einsum("ij,ij->i", u[x], u[y]) >= cosine
+                good = (np.einsum("ij,ij->i", u[x], u[y]) >= cosine) & ~(first[x] & first[y]).any(axis=1)
                 x, y = x[good], y[good]
                 np.add.at(count, x, copies[y])
                 np.add.at(count, y, copies[x])
