@@ -296,6 +296,27 @@ def test_html(spark):
     assert htmlcrf.extract(pages, htmlcrf.fit(pages.where("false"))).where("text <> ''").count() == 0
 
 
+def test_html_without_landmarks(spark):
+    """Pages that keep the article in div elements only, alone in a table and among others; class words of the page and its wrappers."""
+    text = [f"Paragraph number {{i}}.{k} with some more words in it, so that it is a sentence of the article." for k in range(4)]
+    body = "<h1>Title of {i}</h1>" + "".join(f"<p>{t}</p>" for t in text)
+    around = (
+        '<html><head><title>T</title></head><body{c}><div class="navbar"><ul><li><a href="/a">Menu one</a></li><li><a href="/b">Menu two</a></li></ul></div>'
+        '{a}<div class="sidebar"><p>Other things that may be of interest to you.</p></div><div class="footer"><p>All the small print.</p></div></body></html>'
+    )
+    forms = [
+        around.replace("{c}", "").replace("{a}", f'<div class="post-content">{body}</div>'), around.replace("{c}", "").replace("{a}", f'<div id="wrap"><div>{body}</div></div>'),
+        around.replace("{c}", ' class="has-sidebar page-inside"').replace("{a}", f"<article>{body}</article>"),
+        around.replace("{c}", ' id="more" class="footer"').replace("{a}", f'<div class="page-inside with-sidebar"><article>{body}</article></div>'),
+    ]
+    want = lambda i: "\n".join([f"Title of {i}", *(t.replace("{i}", str(i)) for t in text)])
+    for some in (forms[:1], forms[1:2], forms[2:3], forms):
+        rows = [(i, some[i % len(some)].replace("{i}", str(i))) for i in range(40)]
+        pages = spark.createDataFrame(rows, "page_id long, html string")
+        got = {r.page_id: r.text for r in htmlcrf.extract(pages, htmlcrf.fit(pages)).collect()}
+        assert got == {i: want(i) for i in range(40)}
+
+
 def test_chain_gradient_finds_the_labels():
     rng = np.random.default_rng(4)
     chains = [([[f"f{y}", f"n{rng.integers(5)}"] for y in labels], labels) for labels in (rng.integers(0, 2, 8).tolist() for _ in range(20))]

@@ -4,8 +4,10 @@ A page is cut into leaf blocks: runs of text without a block-level tag inside. E
 roles and class words of its ancestors and by its text. Two labels, main text or not, form a chain; weights are fitted
 by maximum likelihood on labelled pages and pages are decoded by Viterbi.
 
-Labelled pages come from a bounded sample of the pages themselves: each sampled page is labelled by its landmarks
-(`weak_labels`), and its text is set anew into layouts whose labels are known by construction (`layouts`).
+Labelled pages come from a bounded sample of the pages themselves: each sampled page with landmarks of main text is
+labelled by them (`weak_labels`), once as it is and once as if it had none, and its text is set anew into layouts whose
+labels are known by construction (`layout`). Pages without landmarks are not labelled. Layouts of fixed texts are always
+among the labelled pages, so that a table without landmarks has a model too; a table without pages has none.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from .common import with_columns_by_arrow
 
 #: Bound on the pages used for fitting, picked by a hash of page_id; layouts made of each; blocks of a training chain.
 TRAIN_PAGES, LAYOUTS, CHAIN = 200, 3, 60
+#: Layouts made of the fixed texts.
+FIXED_LAYOUTS = 120
 ROUNDS, RATE, PENALTY = 120, 0.15, 1e-4
 SEED = 5
 
@@ -49,18 +53,21 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|itemprop|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORD = re.compile(r"[a-zA-Z]+")
-#: Kinds of class words, each a feature of its own.
-KINDS = tuple((name, re.compile(pattern)) for name, pattern in (
-    ("comment", r"comment|repl(?:y|ies)|discuss|disqus|respond|feedback"),
-    ("ad", r"^ads?$|advert|sponsor|promo|banner|^dfp|taboola|outbrain"),
-    ("menu", r"^nav|menu|breadcrumb|crumb|pagination|pager|toolbar|tabs?$"),
-    ("foot", r"foot|copyright|legal|imprint"),
-    ("side", r"side|aside|widget|related|recommend|more|popular|trending|tags?$|share|social"),
-    ("notice", r"cookie|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|paywall"),
-    ("head", r"^head(?:er)?$|masthead|logo|topbar|site"),
-    ("form", r"form|search|field|input"),
-    ("main", r"content|article|post|entry|story|main|body|text"),
+#: Kinds of class words, each a feature of its own. A word is of a kind if it is made of the kind's words and FILL only.
+FILL = "area|bar|block|box|container|group|holder|inner|item|links?|list|outer|panel|row|section|wrap(?:per)?"
+KINDS = tuple((name, re.compile(f"(?:{FILL})*(?:{words})(?:{FILL}|{words})*")) for name, words in (
+    ("comment", r"comments?|commentators?|reply|replies|discuss(?:ions?)?|disqus|respond|feedback"),
+    ("ad", r"ads?|advert(?:s|ising|isements?)?|sponsor(?:s|ed)?|promo(?:s|tions?|ted)?|banners?|dfp|taboola|outbrain"),
+    ("menu", r"nav(?:igation)?|(?:sub)?menus?|(?:bread)?crumbs?|pagination|pager|tool|toolbar|tabs?"),
+    ("foot", r"foot|footer|copyright|legal|imprint"),
+    ("side", r"side|aside|widgets?|related|recommend(?:s|ed|ations?)?|more|popular|trending|tags?|shar(?:e|es|ing)|social"),
+    ("notice", r"cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletters?|subscri(?:be|ptions?)|signup|login|paywall"),
+    ("head", r"head|header|mast|masthead|logo|top|site"),
+    ("form", r"forms?|search|fields?|inputs?"),
+    ("main", r"contents?|articles?|posts?|entry|entries|story|stories|main|body|texts?"),
 ))
+#: Class names that begin so tell what a page or wrapper holds, not what it is.
+HOLDS = ("has-", "has_", "with-", "with_", "no-", "no_", "without-", "without_")
 LANDMARKS = frozenset(["in:article", "in:main", "role:main", "itemprop:articlebody"])
 NOT_MAIN = frozenset([
     "in:nav", "in:footer", "in:aside", "in:form", "in:head", "in:button", "in:select", "in:dialog", "hidden",
@@ -79,9 +86,11 @@ def _element_features(tag: str, attributes: str) -> tuple[str, ...]:
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name in ("class", "id"):
-            for word in WORD.findall(value):
+            if tag in ("html", "body"):
+                continue  # of the page, not of a part of it
+            for word in (w for part in value.split() if not part.startswith(HOLDS) for w in WORD.findall(part)):
                 found.append(f"word:{word}")
-                found += [f"kind:{kind}" for kind, pattern in KINDS if pattern.search(word)]
+                found += [f"kind:{kind}" for kind, pattern in KINDS if pattern.fullmatch(word)]
         elif name in ("role", "itemprop"):
             found.append(f"{name}:{value}")
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
@@ -103,6 +112,11 @@ def _place_features(around: Iterable[str]) -> list[str]:
     return [f"landmark:{int(bool(LANDMARKS & has))}{int(bool(NOT_MAIN & has))}"]
 
 
+def _without_landmarks(features: list[str]) -> list[str]:
+    """Features of a block on a page that has no landmark of main text: landmark:xy becomes plain:y."""
+    return [f"plain:{f[-1]}" if f.startswith("landmark:") else f for f in features if f not in LANDMARKS]
+
+
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks in page order, with references decoded and white space as single spaces; blocks without text are left out."""
     page = page or ""
@@ -162,6 +176,9 @@ def blocks(page: str | None) -> list[Block]:
     if at < len(page):
         run.append(page[at:])
     close()
+    if not any(weak_labels(found)):
+        for b in found:
+            b.features = _without_landmarks(b.features)
     return found
 
 
@@ -177,6 +194,7 @@ def weak_labels(page: list[Block]) -> list[int]:
 WRAPS = (
     ("<article>", "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>"), ('<div class="post-body">', "</div>"),
     ('<section class="entry">', "</section>"), ('<div role="main">', "</div>"), ('<div id="main"><article class="story">', "</article></div>"),
+    ("<div>", "</div>"), ('<div id="page"><div>', "</div></div>"), ("<section>", "</section>"), ("", ""),
 )
 CLUTTER = {
     "outside": (
@@ -208,7 +226,7 @@ def layout(texts: list[str], seed: int) -> list[tuple[Block, int]]:
 
     start, end = rng.choice(WRAPS)
     parts: list[tuple[str, int]] = [(clutter("outside" if rng.random() < 0.6 else "anywhere"), 0) for _ in range(rng.randint(1, 4))]
-    parts.append((start, 0))
+    parts.append((start, 0))  # markup alone makes no block
     for k, t in enumerate(texts):
         if rng.random() < 0.15:
             parts.append((clutter("anywhere"), 0))
@@ -232,6 +250,42 @@ def layout(texts: list[str], seed: int) -> list[tuple[Block, int]]:
     return rows
 
 
+#: Texts of the layouts that do not depend on a table.
+FIXED_TEXTS = (
+    "A walk along the river",
+    "The path begins behind the old mill, where the water is slow and the banks are low enough to sit on. In the early morning there is hardly anybody about.",
+    "Further on the trees stand closer together.",
+    "After about an hour the valley opens, and on a clear day the hills to the north can be seen. Most people turn back here, but the path goes on for several miles, "
+    "past two farms and a small chapel whose door is never locked.",
+    "Bring water and a coat",
+    "There is a bus in the afternoon, and the driver will stop anywhere on the road if a hand is raised in time.",
+)
+
+
+def labelled(pages: list[str | None]) -> list[tuple[list[list[str]], list[int]]]:
+    """Chains of features and labels: of the pages with landmarks, of layouts of their texts and of the fixed layouts.
+    No pages give none."""
+    chains = []
+
+    def add(texts: list[str], seed: int) -> None:
+        rows = layout(texts, seed)
+        chains.append(([b.features for b, _ in rows], [y for _, y in rows]))
+
+    for k, html in enumerate(pages):
+        page = blocks(html)
+        labels = weak_labels(page)
+        if not any(labels):
+            continue
+        chains.append(([b.features for b in page], labels))
+        chains.append(([_without_landmarks(b.features) for b in page], labels))
+        texts = [b.text for b, y in zip(page, labels, strict=True) if y][:CHAIN]
+        for m in range(LAYOUTS):
+            add(texts, SEED + k * LAYOUTS + m)
+    for m in range(FIXED_LAYOUTS if pages else 0):
+        add(list(FIXED_TEXTS[m % 2 : 2 + m % 5]), -1 - m)
+    return chains
+
+
 # ---------------------------------------------------------------- the chain
 
 
@@ -333,20 +387,13 @@ def main_text(model: Model, page: str | None) -> str:
 
 
 def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", train_pages: int = TRAIN_PAGES) -> Model:
-    """A model from about train_pages pages at most, picked by a hash of page_id, and LAYOUTS made pages for each."""
+    """A model from about train_pages pages at most, picked by a hash of page_id, LAYOUTS made pages for each that
+    has landmarks, and the fixed layouts."""
     usable = pages.where(F.col(html).isNotNull() & F.col(page_id).isNotNull())
     share = min(1.0, train_pages / max(usable.count(), 1)) * (1 << 20)
     key = F.xxhash64(F.col(page_id).cast("string"), F.lit(SEED))
     picked = usable.where(F.pmod(key, F.lit(1 << 20)) < F.lit(share)).orderBy(key, html).limit(2 * train_pages)
-    chains = []
-    for k, r in enumerate(picked.select(F.col(html).alias("html")).collect()):
-        page = blocks(r["html"])
-        labels = weak_labels(page)
-        chains.append(([b.features for b in page], labels))
-        texts = [b.text for b, y in zip(page, labels, strict=True) if y][:CHAIN]
-        for m in range(LAYOUTS if texts else 0):
-            rows = layout(texts, SEED + k * LAYOUTS + m)
-            chains.append(([b.features for b, _ in rows], [y for _, y in rows]))
+    chains = labelled([r["html"] for r in picked.select(F.col(html).alias("html")).collect()])
     cut = [(f[at : at + CHAIN], y[at : at + CHAIN]) for f, y in chains for at in range(0, len(y), CHAIN)]
     return fit_chains(cut)
 
