@@ -317,6 +317,15 @@ def test_html_without_landmarks(spark):
         assert got == {i: want(i) for i in range(40)}
 
 
+@pytest.mark.parametrize("page", [
+    '<svg class="i"/><p>one</p><svg/><p>two</p><math display="block" /><p>three</p>', '<img alt="5" wide"><p>one</p><p class="x">two</p><p>three</p>',
+    "<img alt='5' wide'><p>one</p><p class='x'>two</p><p>three</p>", '<p>one</p><a href=it\'s title="a > b" data-x = \'"\'>two</a><p>three</p>', "<img alt=\"5><p>one</p><p id=>two</p><p>three</p>",
+    '<svg viewBox="0 > 1"><text>no</text></svg><p>one</p><p>two</p><script src="/">no</script><p>three</p>', '<p hidden=""">one</p><div class="a"b="c>">two</div>three', '<img src=x"><p>one</p><p>two</p><p>three</p>',
+])
+def test_markup_takes_no_text(page):
+    assert [b.text for b in htmlcrf.blocks(page)] == ["one", "two", "three"]
+
+
 def test_chain_gradient_finds_the_labels():
     rng = np.random.default_rng(4)
     chains = [([[f"f{y}", f"n{rng.integers(5)}"] for y in labels], labels) for labels in (rng.integers(0, 2, 8).tolist() for _ in range(20))]

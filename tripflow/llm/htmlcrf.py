@@ -46,9 +46,11 @@ P_ENDS = frozenset(
 )
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
+#: What stands in a tag up to its end. A quote opens a value behind = only, and only if it is closed.
+INSIDE = r"(?:[^>=]++|=\s*+(?>\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+|))*+"
 TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:svg|math)(?=[\s/>]){INSIDE}(?<=/)>|<({RAW})(?=[\s/>]){INSIDE}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({INSIDE})>|<[!?/][^>]*>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|itemprop|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
