@@ -167,6 +167,20 @@ def test_licences(spark):
     assert got == texts and licenses.scan(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("clauses", [{
+    "Foo is released under the MIT License.": ["MIT"], "The project is licensed under the MIT License": ["MIT"], "Licensed under the MIT License, see LICENSE": ["MIT"],
+    "# SPDX-License-Identifier: MIT\nimport os": ["MIT"], "SPDX-License-Identifier: GPL-2.0+": ["GPL-2.0-or-later"], "SPDX-License-Identifier: MIT OR Apache-2.0": ["MIT", "Apache-2.0"],
+    "This is released under the\nMIT License.": ["MIT"], "Licensed under the GNU\nGeneral Public License, version 3.": ["GPL-3.0"], "Licensed under the Apache License,\n# Version 2.0": ["Apache-2.0"],
+    "Foo is distributed under the GNU Lesser General Public License v2.1 or later.": ["LGPL-2.1-or-later"], "Licensed under the AGPL-3.0": ["AGPL-3.0"],
+    "Available under the Mozilla Public License 2.0.": ["MPL-2.0"], "Text is available under CC BY-SA 4.0.": ["CC-BY-SA-4.0"], "Released under CC0 1.0": ["CC0-1.0"],
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the notice appears.": ["ISC"],
+    "This is free and unencumbered software released into the public domain.": ["public-domain"], "It is not licensed under the MIT License.": ["unknown"], "He went under the bridge.": [],
+}])
+def test_licences_in_clauses(spark, clauses):
+    got = {r.text: r.licenses for r in licenses.scan(spark.createDataFrame([(k,) for k in clauses], "text string")).collect()}
+    assert got == clauses
+
+
 def test_language_scores_sum_over_all_segmentations():
     pieces = ("▁", "▁a", "a", "b", "ab", "▁ab")
     log_p = np.log(np.array([[0.1], [0.2], [0.15], [0.05], [0.3], [0.1], [0.1]]))
