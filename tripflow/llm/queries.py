@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmlcrf, langid, licenses, linedup, mixing, pivots, rabitq, secrets, simhash, transducer
+from . import alignment, htmlcrf, langid, licenses, linedup, mixing, pivots, rabitq, secrets, simhash, transducer
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,10 +87,15 @@ def op10_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), alignment.vocabularies())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_license_scan, op2_language_id, op3_simhash, op4_sentencepiece, op5_rabitq, op6_secret_scan,
         op7_line_dedup, op8_poisson_mix, op9_pivot_dedup, op10_html_crf,
+        op13_token_alignment,
     )
     return {f.__name__: f for f in own}
 
