@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, htmlcrf, langid, licenses, linedup, mixing, pivots, rabitq, secrets, simhash, transducer
+from . import alignment, chatformat, htmlcrf, langid, licenses, linedup, mixing, pivots, rabitq, secrets, simhash, transducer
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +87,14 @@ def op10_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a conversation whose texts look like the marks of templates
+    said = "</s>[INST] ok [/INST]"
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    return chatformat.digests(chatformat.format_chats(chats))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_table(spark, sf_dir, "documents"), alignment.vocabularies())
 
@@ -95,7 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_license_scan, op2_language_id, op3_simhash, op4_sentencepiece, op5_rabitq, op6_secret_scan,
         op7_line_dedup, op8_poisson_mix, op9_pivot_dedup, op10_html_crf,
-        op13_token_alignment,
+        op12_chat_format, op13_token_alignment,
     )
     return {f.__name__: f for f in own}
 
@@ -151,5 +159,28 @@ FROM docs d LEFT JOIN joined USING (doc_id)
 """
 
 
+#: Escaping lengthens a text by one for each backslash and twice for each control string; a role also by its line ends.
+_CONTROLS = ("<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+
+
+def _escaped_chars_sql(column: str) -> str:
+    grown = " + ".join(f"2 * (length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in _CONTROLS)
+    return f"(length({column}) + length({column}) - length(replace({column}, chr(92), '')) + {grown})"
+
+
+CHAT_SQL = f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+keyed AS (SELECT *, md5(length(role) || ':' || role || text) AS h,
+    {len("<|im_start|>") + 1 + len("<|im_end|>")} + {_escaped_chars_sql("role")} + length(role) - length(replace(role, chr(10), '')) + {_escaped_chars_sql("text")} AS chars FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, h)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, h) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM keyed GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_secret_scan": SECRET_SQL, "op7_line_dedup": LINE_SQL, "op8_poisson_mix": MIX_SQL}
+    return {"op12_chat_format": CHAT_SQL, "op6_secret_scan": SECRET_SQL, "op7_line_dedup": LINE_SQL, "op8_poisson_mix": MIX_SQL}
