@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chatformat, htmlcrf, langid, licenses, linedup, mixing, pivots, rabitq, secrets, simhash, transducer
+from . import alignment, chatformat, htmlcrf, langid, licenses, linedup, mixing, pivots, rabitq, repair, secrets, simhash, transducer
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +87,18 @@ def op10_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = _table(spark, sf_dir, "conversations")
+    report, repaired = repair.repair(repair.damage(chats))
+    facts = report.join(repair.digests(repaired).withColumnRenamed("conv_id", "id"), F.col("conv_id").eqNullSafe(F.col("id"))).drop("id")
+    # conversations that lost all rows stay
+    every = chats.groupBy(F.col("conv_id").alias("id")).agg(F.count("*").alias("n"))
+    found = every.join(facts, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    texts = [F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", _sha256(F.lit(""))).alias("repaired_sha256")]
+    return found.select(F.col("id").alias("conv_id"), *counts, *texts)
+
+
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a conversation whose texts look like the marks of templates
     said = "</s>[INST] ok [/INST]"
@@ -103,7 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_license_scan, op2_language_id, op3_simhash, op4_sentencepiece, op5_rabitq, op6_secret_scan,
         op7_line_dedup, op8_poisson_mix, op9_pivot_dedup, op10_html_crf,
-        op12_chat_format, op13_token_alignment,
+        op11_conversation_repair, op12_chat_format, op13_token_alignment,
     )
     return {f.__name__: f for f in own}
 

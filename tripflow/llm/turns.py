@@ -28,11 +28,16 @@ def identity(role: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(F.char_length(role).cast("string"), F.lit(":"), role, text)))
 
 
+def chunk_of(turn: Column, h: Column) -> tuple[Column, Column]:
+    """block and part of a row."""
+    part = F.when(turn.isNull(), F.conv(F.hex(F.substring(h, 1, 1)), 16, 10).cast("int")).otherwise(0)
+    return F.shiftright(turn, TURNS_BITS).alias("block"), part.alias("part")
+
+
 def placed(rows: DataFrame) -> DataFrame:
     """conv_id, turn (long), role, text, h and the chunk of each row. role and text may not be null."""
     given = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text", identity(F.col("role"), F.col("text")).alias("h"))
-    part = F.when(F.col("turn").isNull(), F.conv(F.hex(F.substring("h", 1, 1)), 16, 10).cast("int")).otherwise(0)
-    return given.withColumns({"block": F.shiftright("turn", TURNS_BITS), "part": part})
+    return given.select("*", *chunk_of(F.col("turn"), F.col("h")))
 
 
 def map_rows(df: DataFrame, work: Callable[[Iterator[dict]], Iterator[tuple]], ddl: str) -> DataFrame:
