@@ -51,3 +51,10 @@ def test_nulls(spark):
 
 def test_percentage_of_nothing(spark):
     assert spark.range(1).select(percentage(F.lit(0), F.lit(0)).alias("p")).first()[0] == 0.0
+
+
+def test_amounts_that_no_trip_costs_do_not_end_a_run(spark):
+    assert summed(spark, [1e30, 1.5]).s == 1e30
+    assert summed(spark, [-1e300, 2.0, None]).s == -1e300
+    assert math.isnan(summed(spark, [float("nan"), 1e30]).s)
+    assert summed(spark, [1e17, 0.25, 1e17]).s == 2e17

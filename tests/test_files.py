@@ -94,8 +94,7 @@ def test_schema_hash_equals_that_of_the_schema_spark_reads(spark, raw, tmp_path)
         "SELECT 1 AS a, 'x' AS b, TIMESTAMP'2023-01-01 00:00:00' AS c, DATE'2023-01-01' AS d, CAST(1 AS DECIMAL(9,2)) AS e, "
         "CAST(1 AS SMALLINT) AS f, true AS g, TIMESTAMP_NTZ'2023-01-01 00:00:00' AS h, CAST(1 AS FLOAT) AS i"
     ).coalesce(1).write.parquet(str(tmp_path / "spark"))
-    paths = files.list_parquet(spark, raw.root + "/green") + files.list_parquet(spark, str(tmp_path / "spark"))
-    scanned = files.scan_footers(spark, paths).collect()
+    scanned = files.scan_footers(files.listing(spark, raw.root + "/green", str(tmp_path / "spark"))).collect()
     assert len(scanned) == 2
     for r in scanned:
         schema = spark.read.parquet(r.file_path).schema
@@ -104,7 +103,7 @@ def test_schema_hash_equals_that_of_the_schema_spark_reads(spark, raw, tmp_path)
 
 def test_file_hash(spark, raw):
     paths = [raw.root + "/bad_parquet/wrong_magic.parquet", raw.root + "/absent.parquet"]
-    found = dict(rows(files.file_hashes(spark, paths)))
+    found = dict(rows(files.file_hashes(spark.createDataFrame([(p,) for p in paths], 'file_path STRING'))))
     assert found == {paths[0]: hashlib.md5(b"text " * 100).hexdigest(), paths[1]: "UNREADABLE"}
 
 
@@ -133,9 +132,10 @@ def test_feed_of_several_schemas(spark, tmp_path):
     pq.write_table(yellow(5, fare_amount=pa.array([[1.0]] * 5)), root / "d.parquet")
     inventory = files.inventory(spark, str(tmp_path / "raw"), "P").filter("ingested")
     groups = feeds.feed_groups(spark, inventory)
-    assert sorted(len(g.paths) for g in groups) == [1, 1, 2]
+    assert sorted(g.files for g in groups) == [1, 1, 2]
     bronze, failed = feeds.conform_groups(groups)
-    assert [p.rsplit("/", 1)[1] for p in failed] == ["d.parquet"]
+    broken = spark.createDataFrame(failed, "service_type STRING, schema_hash STRING, reason STRING")
+    assert rows(inventory.join(broken, ["service_type", "schema_hash"]), "file_name") == [("d.parquet",)]
     counts = dict(rows(bronze.groupBy("source_file").agg(F.count("*"))))
     assert counts == {"a.parquet": 3, "b.parquet": 3, "c.parquet": 4}
     assert rows(bronze.filter("vendor_id = '2'").agg(F.count("*"), F.count("extra_amount"))) == [(4, 0)]

@@ -34,12 +34,25 @@ def test_dedup_limits_each_key_before_the_shuffle(layers):
     assert nodes(enrich.dedup_trips(enrich.normalize(bronze)), "Exchange") == 1
 
 
+def test_survivors_and_copies_are_one_pass(spark, layers):
+    bronze, _ = layers
+    keyed = enrich.normalize(bronze)
+    counted = enrich.survivors(keyed)
+    assert nodes(counted, "Exchange") == nodes(counted, "Scan parquet") == 1 and "partial_min" in plan_of(counted)
+    assert counted.drop("copies").exceptAll(enrich.dedup_trips(keyed)).count() == 0
+    assert (counted.count(), counted.agg(F.sum("copies")).first()[0]) == (enrich.dedup_trips(keyed).count(), bronze.count())
+    for name in ("quality_metrics_by_period", "phase_counters", "survivors"):
+        plan = plan_of(registry.queries()[name](spark, "/root/testdata/sf0.001"))
+        assert len(re.findall(r"^Location: .*lineitem", plan, re.M)) == 1
+
+
 def test_a_trip_with_very_many_copies(layers, spark):
     bronze, _ = layers
     copies = bronze.filter(F.col("pickup_datetime").isNotNull()).limit(1).withColumn(
         "n", F.explode(F.sequence(F.lit(1), F.lit(200_000)))
     ).drop("n").repartition(8)
     assert enrich.dedup_trips(enrich.normalize(copies)).count() == 1
+    assert [r.copies for r in enrich.survivors(enrich.normalize(copies)).collect()] == [200_000]
 
 
 def test_evidence_is_one_scan_without_shuffle(layers):
@@ -108,8 +121,8 @@ def test_no_python_and_no_unbounded_joins_in_the_flow(layers):
     for frame in (
         quality.rejected_records(silver, RULES, "P"),
         marts.gold_daily_revenue(quality.valid_trips(silver, RULES)),
-        quality.quality_metrics_by_period(enrich.normalize(bronze), silver, RULES),
-        reports.phase_counters(enrich.normalize(bronze), silver, quality.is_rejected(RULES), quality.violations(RULES)),
+        quality.quality_metrics_by_period(enrich.to_silver_with_copies(bronze), RULES),
+        reports.phase_counters(enrich.to_silver_with_copies(bronze), quality.is_rejected(RULES), quality.violations(RULES)),
     ):
         plan = plan_of(frame)
         for node in ("Python", "Cartesian", "NestedLoop", "BroadcastExchange"):

@@ -96,8 +96,8 @@ def test_corrected_metrics_count_trips_once(trips):
         trips({"source_file": "a"}, {"source_file": "a"}, {"source_file": "b", "fare_amount": -1.0, "total_amount": -1.0},
               {"source_file": "c", "pickup_datetime": None, "year": None, "month": None})
     )
-    silver = enrich.with_metrics(enrich.dedup_trips(keyed))
-    found = {(r.year, r.month): r for r in quality.quality_metrics_by_period(keyed, silver, RULES).collect()}
+    silver = enrich.with_metrics(enrich.survivors(keyed))
+    found = {(r.year, r.month): r for r in quality.quality_metrics_by_period(silver, RULES).collect()}
     january, undated = found[2023, 1], found[None, None]
     assert (january.input_records, january.duplicate_records, january.valid_records, january.rejected_records) == (3, 1, 1, 1)
     assert (undated.total_records, undated.null_critical_records, undated.quality_percentage) == (1, 1, 0.0)

@@ -5,7 +5,7 @@ import pyarrow.parquet as pq
 
 from tripflow.operators import diagnose
 from tripflow.sources import files
-from tripflow.sources.layers import write_run
+from tripflow.sources.layers import commit_run, read_layer
 
 SCHEMA = "process_id string, service_type string, n int"
 BY = ("process_id", "service_type")
@@ -15,14 +15,14 @@ def test_rows_and_partitions_that_a_rerun_lacks_are_gone(spark, tmp_path):
     path = str(tmp_path / "evidence")
 
     def run(process_id, rows):
-        return sorted(tuple(r) for r in write_run(spark.createDataFrame(rows, SCHEMA), path, process_id, partition_by=BY).collect())
+        return sorted(tuple(r) for r in commit_run(spark.createDataFrame(rows, SCHEMA), path, process_id, partition_by=BY).collect())
 
     other = [("B", "green", 9)]
     assert run("B", other) == other
     assert len(run("A", [("A", "yellow", 1), ("A", "green", 2)])) == 2
     assert run("A", [("A", "yellow", 3)]) == [("A", "yellow", 3)]
     assert run("A", []) == []
-    assert sorted(tuple(r) for r in spark.read.schema(SCHEMA).parquet(path).select("process_id", "service_type", "n").collect()) == other
+    assert sorted(tuple(r) for r in read_layer(spark, path).select("process_id", "service_type", "n").collect()) == other
 
 
 def test_repeated_column_names_set_a_file_aside(spark, tmp_path):

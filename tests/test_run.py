@@ -11,7 +11,7 @@ from tripflow.operators import quality
 from tripflow.plans import pipeline, publish, reports
 from tripflow.session import new_process_id
 from tripflow.sources import files
-from tripflow.sources.layers import read_glob, read_layer
+from tripflow.sources.layers import read_layer
 
 import pyarrow.parquet as pq
 
@@ -54,7 +54,7 @@ def test_layers_and_evidence(spark, lake):
     assert found["missing_critical.parquet"].missing_critical == ["fare_amount"]
     unreadable = read_layer(spark, settings.layer("quarantine", "files"))
     assert {r.file_name for r in unreadable.collect()} == {"wrong.parquet", "gone.parquet"}
-    assert read_glob(spark, settings.layer("silver")).count() == 212
+    assert read_layer(spark, settings.layer("silver")).count() == 212
     assert rows(read_layer(spark, settings.layer("audit", "run_metrics")).agg(F.count("*"))) == [(5,)]
     assert rows(read_layer(spark, settings.layer("audit", "verification")).filter("status = 'OK'").agg(F.sum("rows"))) != [(0,)]
     assert pipeline.latest_inventory(spark, settings).count() == 7
@@ -103,8 +103,12 @@ def test_missing_layers_fail_and_leave_a_record(spark, tmp_path):
     assert rows(read_layer(spark, settings.layer("audit", "run_metrics")), "status") == [("FAILED",)]
     with pytest.raises(RuntimeError, match="bronze is empty"):
         pipeline.run(spark, settings, process_id="ETL-Y")
-    with pytest.raises(RuntimeError, match="no bronze"):
+    with pytest.raises(RuntimeError, match="bronze is empty"):
         pipeline.run(spark, settings, start=2, end=2, process_id="ETL-Z")
+    with pytest.raises(RuntimeError, match="no inventory"):
+        pipeline.run(spark, Settings(root=str(tmp_path / "new")), start=2, end=2, process_id="ETL-Z")
+    with pytest.raises(RuntimeError, match="no bronze"):
+        pipeline.run(spark, Settings(root=str(tmp_path / "new")), start=4, end=4, process_id="ETL-Z")
 
 
 def test_deep_validation_keeps_damaged_files_out(spark, tmp_path):

@@ -508,6 +508,34 @@ def oracle_sql() -> dict[str, str]:
             SELECT service_type, store_and_fwd_flag, quality_status, COUNT(*) AS trips FROM keyed GROUP BY 1, 2, 3"""),
         "dedup_trips": _q("""
             SELECT trip_id, trip_distance, tip_amount, tolls_amount, payment_type, total_amount FROM deduped"""),
+        "survivors": _q("""
+            SELECT d.trip_id, copies, trip_distance, tip_amount, tolls_amount, payment_type, total_amount FROM deduped d
+            JOIN (SELECT trip_id, COUNT(*) AS copies FROM keyed GROUP BY 1) k ON d.trip_id = k.trip_id"""),
+        "merged_unique_trips": _q(f"""
+            SELECT {period}, COUNT(DISTINCT trip_id) AS unique_trips, true AS within_bound FROM gold_trips_clean GROUP BY {period}"""),
+        "incremental_run": _q("""
+            SELECT CASE WHEN service_type = 'yellow' AND y <> '2024' THEN 'ETL-A' ELSE 'ETL-B' END AS process_id, service_type,
+              y AS partition_year, m AS partition_month, COUNT(*) AS records,
+              CAST(SUM(COUNT(*)) OVER (PARTITION BY service_type) AS BIGINT) AS bronze_of_service
+            FROM (SELECT service_type, split_part(split_part(source_file, '_', 3), '-', 1) AS y,
+                    split_part(split_part(source_file, '-', 2), '.', 1) AS m FROM trips)
+            WHERE NOT (service_type = 'green' AND y = '2025') GROUP BY 1, 2, 3, 4"""),
+        "manifest_files": _q("""
+            SELECT file_name, COALESCE(expected, 0) AS expected, COALESCE(delivered, 0) AS delivered,
+              CASE WHEN expected IS NULL THEN 'UNEXPECTED' WHEN delivered IS NULL THEN 'MISSING'
+                   WHEN delivered > expected THEN 'REPEATED' ELSE 'EXPECTED' END AS status
+            FROM (SELECT s || '_tripdata_' || strftime(DATE '2017-01-01' + to_months(CAST(i AS INTEGER)), '%Y-%m') || '.parquet' AS file_name, 1 AS expected
+                  FROM (SELECT DISTINCT service_type AS s FROM trips), range(36) AS r(i))
+            FULL JOIN (SELECT source_file AS file_name, COUNT(DISTINCT payment_type % 2) AS delivered FROM trips GROUP BY 1) USING (file_name)"""),
+        "schema_versions": _q("""
+            SELECT service_type, COUNT(DISTINCT (service_type = 'yellow' AND source_file LIKE '%_2024-%')
+                OR (service_type = 'green' AND source_file LIKE '%_2025-%')) AS versions, COUNT(*) AS records FROM trips GROUP BY 1"""),
+        "file_contents": _q("""
+            SELECT service_type, true AS all_readable, true AS all_different, true AS measured, COUNT(*) AS records FROM trips GROUP BY 1"""),
+        "inventory_load": _q("""
+            SELECT 'ETL-A' AS process_id, source_file AS file_name, CASE WHEN COUNT(*) % 3 = 0 THEN 0 ELSE COUNT(*) END AS record_count,
+              CAST(19 AS INTEGER) AS column_count, CASE WHEN COUNT(*) % 3 <> 0 THEN MAX(pickup_datetime) END AS processed_at
+            FROM trips GROUP BY source_file"""),
         "dedup_stats": _q(f"""
             SELECT b AS rows_before, a AS rows_after, b - a AS duplicates_removed,
                    {_pct("(b - a)", "b")} AS duplicate_pct

@@ -48,6 +48,7 @@ class Settings:
     opt_in_rules: tuple[str, ...] = ()
     deep_validate: bool = False
     cluster_bronze: bool = False
+    incremental: bool = False
     max_records_per_file: int = 2_000_000
 
     @property
@@ -88,7 +89,7 @@ def settings_from_dict(raw: dict) -> Settings:
         ExpectedFile("bad_parquet", name)
         for name in raw.get("bad_parquet_sources", {}).get("files", [])
     ]
-    top = {k: raw[k] for k in ("raw_dir", "database", "deep_validate", "cluster_bronze") if k in raw}
+    top = {k: raw[k] for k in ("raw_dir", "database", "deep_validate", "cluster_bronze", "incremental") if k in raw}
     return Settings(
         root=raw["root"],
         thresholds=Thresholds(**chosen),

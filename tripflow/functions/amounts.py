@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Sums run on decimals: 28 digits before the point and 10 behind it.
+#: Sums run on decimals of ten places; amounts below LARGE fit in them, some 10^10 times over.
 EXACT = "decimal(38,10)"
+LARGE = 1e18
 
 
 def _col(c: Column | str) -> Column:
@@ -16,14 +17,14 @@ def _col(c: Column | str) -> Column:
 def exact_sum(value: Column | str) -> Column:
     """Sum of a double column that does not depend on row order or partitioning.
 
-    Every finite value is added as a decimal of ten places; a value or total of more than 28 digits is an error (in ANSI
-    mode, which the session sets). NaN and infinities are added beside them, which no order changes, and make the sum
-    theirs. NULL only if all inputs are NULL.
+    Values below 10^18 are added as decimals of ten places, so what lies below 5e-11 is lost. Greater ones, which no trip
+    costs, are added beside them as doubles: one such value is exact, several are as exact as doubles are. So are
+    NaN and infinities, which make the sum theirs. NULL only if all inputs are NULL.
     """
     x = _col(value)
-    finite = ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
-    total = F.sum(F.when(finite, x).cast(EXACT)).cast("double")
-    odd = F.sum(F.when(~finite, x))
+    usual = F.abs(x) < F.lit(LARGE)  # NaN is greater than any number
+    total = F.sum(F.when(usual, x).cast(EXACT)).cast("double")
+    odd = F.sum(F.when(~usual, x))
     return F.coalesce(total + F.coalesce(odd, F.lit(0.0)), odd)
 
 

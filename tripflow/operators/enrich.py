@@ -51,13 +51,12 @@ def normalize(df: DataFrame) -> DataFrame:
     return df.withColumns({**_strings(df), **_amounts(df), **_period(), "trip_id": trips.trip_id()})
 
 
-def _keep_order(columns: list[str]) -> list[Column]:
+def _keep_order(columns: list[str]) -> list[str]:
     """First ingested wins; the other columns make the choice a function of the data alone."""
     made_of_key = {"trip_id", "ingestion_timestamp", "year", "month", *TRIP_KEY}
     rest = [f.name for f in CANONICAL_SCHEMA if f.name in columns and f.name not in made_of_key]
     lead = [c for c in ("trip_distance", "tip_amount", "tolls_amount", "payment_type", "total_amount") if c in rest]
-    tie_break = lead + [c for c in rest if c not in lead]
-    return [F.col(c).asc_nulls_first() for c in ("ingestion_timestamp", *tie_break)]
+    return ["ingestion_timestamp", *lead, *[c for c in rest if c not in lead]]
 
 
 def dedup_trips(df: DataFrame) -> DataFrame:
@@ -66,10 +65,22 @@ def dedup_trips(df: DataFrame) -> DataFrame:
     `row_number() = 1` lets Spark keep one row per key inside each map task before the shuffle
     (WindowGroupLimit), so a key with very many copies never reaches one task as a whole.
     """
-    by_trip = Window.partitionBy("trip_id").orderBy(*_keep_order(df.columns))
+    by_trip = Window.partitionBy("trip_id").orderBy(*[F.col(c).asc_nulls_first() for c in _keep_order(df.columns)])
     return df.withColumn("_n", F.row_number().over(by_trip)).filter("_n = 1").drop("_n")
 
 
+def survivors(df: DataFrame) -> DataFrame:
+    """The rows of dedup_trips, each with `copies`, how many rows its trip_id arrived in.
+
+    One keyed aggregate: the row is the least struct in the order of dedup_trips, and both it and the count are
+    combined map-side, so what needs survivors and duplicates scans and shuffles the trips once.
+    """
+    order = _keep_order(df.columns)
+    row = F.struct(*order, *[c for c in df.columns if c not in (*order, "trip_id")])
+    kept = df.groupBy("trip_id").agg(F.min(row).alias("row"), F.count(F.lit(1)).alias("copies"))
+    return kept.select(*[F.col("trip_id") if c == "trip_id" else F.col(f"row.{c}").alias(c) for c in df.columns], "copies")
+
+
 def dedup_stats(df: DataFrame) -> DataFrame:
     """Rows before and after deduplication, from counts per key (combined map-side)."""
     per_trip = df.groupBy("trip_id").agg(F.count("*").alias("n"))
@@ -131,3 +142,11 @@ def to_silver(
     day = F.current_date() if processing_date is None else processing_date
     kept = bronze.transform(normalize).transform(dedup_trips)
     return with_metrics(kept, limits, processing_date=day)
+
+
+def to_silver_with_copies(
+    bronze: DataFrame, limits: Thresholds = Thresholds(), processing_date: Column | None = None
+) -> DataFrame:
+    """The rows of to_silver with `copies`, from one pass over bronze."""
+    day = F.current_date() if processing_date is None else processing_date
+    return with_metrics(bronze.transform(normalize).transform(survivors), limits, processing_date=day)

@@ -201,39 +201,26 @@ def quality_metrics_from(
     )
 
 
-def quality_metrics_by_period(keyed: DataFrame, silver: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+def quality_metrics_by_period(silver: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """Corrected metrics: trips counted once, in their own period, with real duplicate counts.
 
-    `keyed` is the normalised input before deduplication. Both inputs shrink to one row per period
-    before they meet, and periods without a pickup meet too (grouping, not an equality join).
+    `silver` has `copies` (see enrich.to_silver_with_copies): all copies of a trip share its period, so one aggregation
+    over it counts what arrived as well.
     """
     rejected = is_rejected(rules)
     null_rules = tuple(r for r in rules if r.category == "NULL_CRITICAL_FIELD")
-    kept = silver.groupBy(*_PERIOD).agg(
-        F.count("*").alias("total_records"),
-        F.count_if(~rejected).alias("valid_records"),
-        F.count_if(rejected).alias("rejected_records"),
-        F.count_if(is_rejected(null_rules)).alias("null_critical_records"),
-        F.count_if(~rejected & F.coalesce("is_suspicious_trip", F.lit(False))).alias("suspicious_records"),
-        F.lit(0).cast("long").alias("input_records"),
-    )
-    arrived = keyed.groupBy(*_PERIOD).agg(F.count("*").alias("input_records"))
-    measures = [c for c in kept.columns if c not in _PERIOD]
-    both = kept.unionByName(arrived, allowMissingColumns=True)
     return (
-        both.groupBy(*_PERIOD)
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in measures])
-        .select(
-            *_PERIOD,
-            "input_records",
-            (F.col("input_records") - F.col("total_records")).alias("duplicate_records"),
-            "total_records",
-            "valid_records",
-            "rejected_records",
-            "null_critical_records",
-            "suspicious_records",
-            percentage(F.col("valid_records"), F.col("total_records")).alias("quality_percentage"),
+        silver.groupBy(*_PERIOD)
+        .agg(
+            F.sum("copies").alias("input_records"),
+            (F.sum("copies") - F.count("*")).alias("duplicate_records"),
+            F.count("*").alias("total_records"),
+            F.count_if(~rejected).alias("valid_records"),
+            F.count_if(rejected).alias("rejected_records"),
+            F.count_if(is_rejected(null_rules)).alias("null_critical_records"),
+            F.count_if(~rejected & F.coalesce("is_suspicious_trip", F.lit(False))).alias("suspicious_records"),
         )
+        .withColumn("quality_percentage", percentage(F.col("valid_records"), F.col("total_records")))
     )
 
 

@@ -1,8 +1,9 @@
 """The run: raw files -> bronze -> silver -> gold, quarantine and audit -> published tables.
 
 Every phase ends in written layers and the next one starts from them, so a lost executor costs a
-task, a failed run restarts at a phase, and no plan grows over several phases. Row counts are
-observed while a layer is written instead of counted again.
+task, a failed run restarts at a phase, and no plan grows over several phases. A layer is committed
+after it is written, so a run that fails leaves what was there. Counts come from the footers of what was
+written (or from two columns of it), so retried tasks do not change them.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..operators import diagnose, enrich, marts, quality
 from ..session import adopt, new_process_id
 from ..sources import feeds, files
-from ..sources.layers import PERIOD, read_layer, write_layer, write_run
+from ..sources.layers import NULL_FOLDER, PERIOD, WHOLE, commit_layer, commit_run, current, partition_folder, read_layer
 from . import publish, reports
 
 log = logging.getLogger("tripflow")
@@ -45,16 +46,11 @@ def _phase(run: Run, name: str):
     log.info("%s %s: %s", run.process_id, name, facts)
 
 
-def _observed(df: DataFrame, **measures) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, *[m.alias(n) for n, m in measures.items()]), seen
-
-
 def extract(spark: SparkSession, settings: Settings, process_id: str) -> DataFrame:
     """Phase 1: inventory of the raw files and evidence for the unreadable ones."""
     rows = files.inventory(spark, settings.raw, process_id, settings.expected_files)
-    stored = write_run(rows, settings.layer("audit", "inventory"), process_id, cluster=True)
-    write_run(files.file_quarantine(stored), settings.layer("quarantine", "files"), process_id, cluster=True)
+    stored = commit_run(rows, settings.layer("audit", "inventory"), process_id, cluster=True)
+    commit_run(files.file_quarantine(stored), settings.layer("quarantine", "files"), process_id, cluster=True)
     return stored
 
 
@@ -67,52 +63,120 @@ def latest_inventory(spark: SparkSession, settings: Settings) -> DataFrame | Non
     return stored.filter(F.col("process_id") == last)
 
 
+def hashed(spark: SparkSession, settings: Settings, feed_files: DataFrame, process_id: str) -> DataFrame:
+    """(file_path, length, modified, file_hash) of the given files. Bytes are read only where no run has hashed a file of this
+    path, size and time."""
+    path, facts = settings.layer("audit", "hashes"), ["file_path", "length", "modified"]
+    before = read_layer(spark, path)
+    known = feed_files.select(*facts)
+    if before is None:
+        found = known.join(files.file_hashes(known), "file_path")
+    else:
+        old = known.join(before.select(*facts, "file_hash").distinct(), facts)
+        new = known.join(old.select(*facts), facts, "left_anti")
+        found = old.union(new.join(files.file_hashes(new), "file_path").select(*old.columns))
+    return commit_run(found, path, process_id, cluster=True)
+
+
+def unseen(spark: SparkSession, settings: Settings, feed_files: DataFrame, process_id: str) -> DataFrame:
+    """The files whose bytes bronze does not hold yet, each content once (at its first path), with file_hash.
+
+    The ledger has a row per file that a run was to conform; it counts if bronze holds that run, so a run that ended before
+    its commit is not in the way, and a load that replaced bronze starts anew.
+    """
+    hashes = hashed(spark, settings, feed_files, process_id).select("file_path", "file_hash")
+    firsts = hashes.groupBy("file_hash").agg(F.min("file_path").alias("file_path"))
+    ledger = read_layer(spark, settings.layer("audit", "ledger"))
+    if ledger is not None:
+        held = [r for r in (current(spark, settings.layer("bronze")) or {}) if r != partition_folder(process_id=process_id)]
+        runs = spark.createDataFrame([(k,) for k in held], "run STRING")
+        loaded = ledger.join(runs, F.concat(F.lit("process_id="), "process_id") == F.col("run"), "left_semi")
+        firsts = firsts.join(loaded.select("file_hash"), "file_hash", "left_anti")
+    return feed_files.join(firsts, "file_path")
+
+
+LEDGER = ("file_hash", "file_path", "service_type", "partition_year", "partition_month", "record_count")
+
+
 def to_bronze(spark: SparkSession, settings: Settings, inventory: DataFrame, process_id: str) -> dict | None:
-    """Phases 2-3: diagnose each file, conform the recoverable ones, set the others aside."""
+    """Phases 2-3: diagnose each file, conform the recoverable ones, set the others aside.
+
+    An incremental run adds the files whose bytes bronze does not hold to it; any other run replaces bronze. `periods` are the
+    partitions that an incremental run has added to, None where all of them are new.
+    """
     feed_files = inventory.filter("ingested")
     if settings.deep_validate:
         checked = files.deep_validate(feed_files)
-        decoded = write_run(checked, settings.layer("audit", "decoded"), process_id, cluster=True)
+        decoded = commit_run(checked, settings.layer("audit", "decoded"), process_id, cluster=True)
         damaged = decoded.filter(F.col("decode_status") != "OK")
         feed_files = feed_files.join(damaged.select("file_path"), "file_path", "left_anti")
+    if settings.incremental:
+        feed_files = unseen(spark, settings, feed_files, process_id)
     diagnosis = diagnose.diagnose(feed_files, diagnose.contract_fields(spark))
-    stored = write_run(diagnosis, settings.layer("audit", "diagnostics"), process_id, cluster=True)
+    stored = commit_run(diagnosis, settings.layer("audit", "diagnostics"), process_id, cluster=True)
     usable = feed_files.join(stored.filter("is_recoverable").select("file_path"), "file_path", "left_semi")
-    groups = feeds.feed_groups(spark, usable)
+    groups = feeds.feed_groups(spark, usable, inventory)
     bronze, failed = feeds.conform_groups(groups)
     set_aside = files.schema_quarantine(stored)
+    reasons = spark.createDataFrame(failed, "service_type STRING, schema_hash STRING, homologation_error STRING")
     if failed:
-        reasons = spark.createDataFrame(list(failed.items()), "file_path STRING, homologation_error STRING")
-        broken = stored.join(reasons, "file_path")
+        broken = stored.filter("is_recoverable").join(reasons, ["service_type", "schema_hash"])
         set_aside = set_aside.unionByName(
             files.schema_quarantine(broken.withColumn("is_recoverable", F.lit(False))), allowMissingColumns=True
         )
-    write_run(set_aside, settings.layer("quarantine", "schemas"), process_id, cluster=True)
+    commit_run(set_aside, settings.layer("quarantine", "schemas"), process_id, cluster=True)
+    lost = {(service, key) for service, key, _ in failed}
+    conformed = [g for g in groups if (g.service_type, g.schema_hash) not in lost]
+    facts = {"feed_scans": len(groups), "files_conformed": sum(g.files for g in conformed)}
+    path, run = settings.layer("bronze"), partition_folder(process_id=process_id)
+    held = current(spark, path) or {}
     if bronze is None:
-        return None
-    bronze, seen = _observed(bronze, bronze_records=F.count(F.lit(1)))
+        return {**facts, "bronze_records": 0, "periods": set()} if settings.incremental and held else None
+    if settings.incremental:
+        good = usable.join(reasons, ["service_type", "schema_hash"], "left_anti")
+        commit_run(good.select(*LEDGER), settings.layer("audit", "ledger"), process_id, cluster=True)
+    whole = not settings.incremental or not held or WHOLE in held
+    audited = sum(g.records for g in conformed)
+
+    def as_audited(written: DataFrame) -> None:
+        facts["bronze_records"] = written.count()  # from the footers of what was written
+        if facts["bronze_records"] != audited:
+            raise RuntimeError(f"files changed since their audit: {audited} records then, {facts['bronze_records']} now")
+
     # raw files already hold one feed and month each, so the write needs no shuffle
-    write_layer(
-        bronze, settings.layer("bronze"), PERIOD,
+    commit_layer(
+        bronze, path, PERIOD, key=run if settings.incremental else WHOLE, whole=whole, verify=as_audited,
         cluster=settings.cluster_bronze, max_records_per_file=settings.max_records_per_file,
     )
-    return {**seen.get, "feed_scans": len(groups), "files_conformed": sum(len(g.paths) for g in groups) - len(failed)}
-
-
-def to_silver(spark: SparkSession, settings: Settings, bronze: DataFrame) -> dict:
-    """Phase 4: enrichment and deduplication, then one shuffle into the partition layout."""
-    incoming, arrived = _observed(bronze, records_in=F.count(F.lit(1)))
-    silver = enrich.to_silver(incoming, settings.thresholds)
-    silver, kept = _observed(
-        silver,
-        records_out=F.count(F.lit(1)),
-        suspicious_trips=F.count_if("is_suspicious_trip"),
-        airport_trips=F.count_if("is_airport_trip"),
-    )
-    write_layer(
-        silver, settings.layer("silver"), PERIOD, cluster=True, max_records_per_file=settings.max_records_per_file
+    if whole:
+        return {**facts, "periods": None}
+    written = read_layer(spark, path, schema=bronze.schema, keys={run})
+    return {**facts, "periods": {partition_folder(**r.asDict()) for r in written.select(*PERIOD).distinct().collect()}}
+
+
+def to_silver(spark: SparkSession, settings: Settings, bronze: DataFrame, periods: set[str] | None = None) -> dict:
+    """Phase 4: enrichment and deduplication, then one shuffle into the partition layout.
+
+    Copies of a trip share its period, so an incremental run does this for the periods it has added to only.
+    """
+    if periods is not None:
+        in_period = [F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_FOLDER))) for c in PERIOD])]
+        bronze = bronze.where(in_period[0].isin(*sorted(periods)))
+    # periods of silver come from the pickup, as those of bronze
+    silver = enrich.to_silver(bronze, settings.thresholds)
+    path = settings.layer("silver")
+    commit_layer(
+        silver, path, PERIOD, by_partition=True, only=periods, cluster=True, max_records_per_file=settings.max_records_per_file
     )
-    facts = {**arrived.get, **kept.get}
+    written = read_layer(spark, path, schema=silver.schema, keys=periods)
+    facts = {
+        "records_in": bronze.count(),
+        **written.agg(  # two columns of what was written
+            F.count(F.lit(1)).alias("records_out"),
+            F.count_if("is_suspicious_trip").alias("suspicious_trips"),
+            F.count_if("is_airport_trip").alias("airport_trips"),
+        ).first().asDict(),
+    }
     facts["duplicates_removed"] = facts["records_in"] - facts["records_out"]
     return facts
 
@@ -125,26 +189,24 @@ def to_gold(spark: SparkSession, settings: Settings, silver: DataFrame, process_
     """
     rules = quality.rejection_rules(settings.thresholds, settings.opt_in_rules)
     valid, evidence = quality.split(silver, rules, process_id)
-    gold, valid_seen = _observed(marts.gold_trips_clean(valid), valid_records=F.count(F.lit(1)))
-    evidence, evidence_seen = _observed(evidence, rejected_records=F.count(F.lit(1)))
 
     def write(table: str, df: DataFrame, **how) -> DataFrame:
         folder, partitions = publish.LAYOUT[table]
         path = settings.layer(folder)
         if "process_id" in partitions:
-            return write_run(df, path, process_id, partition_by=partitions, **how)
-        write_layer(df, path, partitions, **how)
-        return read_layer(spark, path, schema=df.schema)
+            return commit_run(df, path, process_id, partition_by=partitions, **how)
+        return commit_layer(df, path, partitions, **how)
 
     size = {"max_records_per_file": settings.max_records_per_file}
-    trips = write("gold_trips_clean", gold, sort_by=("pickup_datetime",), **size)
+    trips = write("gold_trips_clean", marts.gold_trips_clean(valid), sort_by=("pickup_datetime",), **size)
     # each input task rejects a few rows; rebalancing them avoids one small file per task
     stored_evidence = write("quality_rejected_records", evidence, cluster=True, **size)
     write("gold_daily_revenue", marts.gold_daily_revenue(trips), cluster=True)
     write("gold_location_performance", marts.gold_location_performance(trips), cluster=True)
+    commit_run(reports.trip_sketches(trips), settings.layer("audit", "trip_sketches"), process_id, cluster=True)
     metrics = quality.quality_metrics_from(trips, stored_evidence, process_id)
     write("quality_metrics_summary", metrics, cluster=True)
-    facts = {**valid_seen.get, **evidence_seen.get}
+    facts = {"valid_records": trips.count(), "rejected_records": stored_evidence.count()}  # from footers
     total = facts["valid_records"] + facts["rejected_records"]
     facts["quality_pct"] = round(facts["valid_records"] / max(total, 1) * 100, 2)
     return facts
@@ -155,7 +217,7 @@ def publish_and_verify(spark: SparkSession, settings: Settings, run: Run) -> dic
     publish.publish_layers(spark, settings)
     run.checks = reports.verify(reports.catalog_tables(spark, settings.database))
     frame = reports.verification_frame(spark, run.checks).withColumn("process_id", F.lit(run.process_id))
-    write_run(frame, settings.layer("audit", "verification"), run.process_id, cluster=True)
+    commit_run(frame, settings.layer("audit", "verification"), run.process_id, cluster=True)
     passed = sum(c.status == "OK" for c in run.checks)
     return {"queries_ok": passed, "queries_total": len(run.checks)}
 
@@ -166,6 +228,7 @@ def run(
     """Run the phases from `start` to `end`; a phase that is skipped is replaced by its layer."""
     adopt(spark)
     state = Run(process_id or new_process_id())
+    periods = None  # what phase 4 has to do anew; None: all
 
     def wanted(phase: int) -> bool:
         return start <= phase <= end
@@ -184,19 +247,20 @@ def run(
                 )
         if wanted(2):
             with _phase(state, "phase_2_3") as facts:
-                if inventory is not None:
-                    outcome = to_bronze(spark, settings, inventory, state.process_id)
-                    if outcome is None:
-                        raise RuntimeError("no file could be conformed, bronze is empty")
-                    facts.update(outcome)
-                elif read_layer(spark, settings.layer("bronze")) is None:
-                    raise RuntimeError("no bronze layer to start from")
-        if wanted(4):
+                inventory = latest_inventory(spark, settings) if inventory is None else inventory
+                if inventory is None:
+                    raise RuntimeError("no inventory to start from")
+                outcome = to_bronze(spark, settings, inventory, state.process_id)
+                if outcome is None:
+                    raise RuntimeError("no file could be conformed, bronze is empty")
+                periods = outcome.pop("periods")
+                facts.update(outcome)
+        if wanted(4) and periods != set():
             with _phase(state, "phase_4") as facts:
                 bronze = read_layer(spark, settings.layer("bronze"), merge_schema=True)
                 if bronze is None:
                     raise RuntimeError("no bronze layer to start from")
-                facts.update(to_silver(spark, settings, bronze))
+                facts.update(to_silver(spark, settings, bronze, periods))
         if wanted(5):
             with _phase(state, "phase_5_6") as facts:
                 silver = read_layer(spark, settings.layer("silver"))
@@ -226,4 +290,4 @@ def _save_metrics(spark: SparkSession, settings: Settings, state: Run) -> None:
     frame = spark.createDataFrame(
         rows, "process_id STRING, status STRING, error STRING, phase STRING, facts STRING"
     )
-    write_run(frame, settings.layer("audit", "run_metrics"), state.process_id, cluster=True)
+    commit_run(frame, settings.layer("audit", "run_metrics"), state.process_id, cluster=True)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from urllib.parse import unquote
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..contracts import PUBLISHED_TABLES, published_schema
+from ..sources.layers import NULL_FOLDER, current, log_of, new_version, partition_folder, read_layer, write_layer
 
 # table -> (folder of the layer that holds it, partition columns)
 LAYOUT = {
@@ -28,11 +32,63 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+PUBLISHED_COMMIT = "tripflow.commit"
+
+
+def _spec(folder: str) -> str:
+    """`a=b/c=d` as (a = 'b', c = 'd')."""
+    parts = [part.split("=", 1) for part in folder.split("/")]
+    return "(" + ", ".join(f"{n} = {'null' if v == NULL_FOLDER else _literal(unquote(v))}" for n, v in parts) + ")"
+
+
+def point(spark: SparkSession, table: str, folders: dict[str, str], gone: set[str] = frozenset()) -> None:
+    """Let partitions (`a=b/c=d`) of a table be read from other folders. Each one changes from all its old rows to all its new
+    ones: only the catalog is written."""
+    held = {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    added = [f"PARTITION {_spec(p)} LOCATION {_literal(f)}" for p, f in sorted(folders.items()) if p not in held]
+    for partition in sorted(set(folders) & held):
+        spark.sql(f"ALTER TABLE {table} PARTITION {_spec(partition)} SET LOCATION {_literal(folders[partition])}")
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD {' '.join(added)}")
+    for partition in sorted(gone & held):
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION {_spec(partition)}")
+    spark.catalog.refreshTable(table)
+
+
+def _partitions_below(spark: SparkSession, table: str, partitions: tuple[str, ...], folder: str) -> dict[str, str]:
+    """Partition -> folder, as a passing table over the folder finds them."""
+    passing = f"{table}_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE TABLE {passing} ({_columns_ddl(table.rsplit('.', 1)[-1])}) USING parquet PARTITIONED BY ({', '.join(partitions)}) LOCATION {_literal(folder)}")
+    try:
+        spark.sql(f"MSCK REPAIR TABLE {passing}")
+        found = [r.partition for r in spark.sql(f"SHOW PARTITIONS {passing}").collect()]
+    finally:
+        spark.sql(f"DROP TABLE {passing}")
+    return {p: f"{folder}/{p}" for p in found}
+
+
+def _sync(spark: SparkSession, table: str, path: str, partitions: tuple[str, ...]) -> None:
+    """Bring a table to what its layer holds, from the commits that it has not seen."""
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    log = log_of(spark, path, int(properties.get(PUBLISHED_COMMIT, 0)))
+    if not log:
+        return
+    held, whole = current(spark, path), any(c[1] for c in log)
+    changed = set(held) if whole else {k for c in log for k in c[2]}
+    folders: dict[str, str] = {}
+    for version in sorted({held[k].split("/", 1)[0] for k in changed if k in held}):
+        folders |= _partitions_below(spark, table, partitions, f"{path}/{version}")
+    old = {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()} - set(folders)
+    gone = old if whole else {p for p in old if any(f"{p}/".startswith(f"{k}/") for k in changed)}
+    point(spark, table, folders, gone)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PUBLISHED_COMMIT}' = '{log[-1][0]}')")
+
+
 def publish_layers(spark: SparkSession, settings: Settings) -> list[str]:
-    """Create the six tables over the layer folders, if absent, and pick up their partitions.
+    """Create the six tables, if absent, and point their partitions at what the layers hold.
 
     The layers are the tables: no row is copied. Runs accumulate under their `process_id`
-    partition; gold folders hold the latest run.
+    partition; gold tables hold the latest run.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {settings.database} LOCATION {_literal(settings.layer('catalog'))}")
     for table in PUBLISHED_TABLES:
@@ -42,8 +98,7 @@ def publish_layers(spark: SparkSession, settings: Settings) -> list[str]:
             f"CREATE TABLE IF NOT EXISTS {name} ({_columns_ddl(table)}) USING parquet "
             f"PARTITIONED BY ({', '.join(partitions)}) LOCATION {_literal(settings.layer(folder))}"
         )
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
-        spark.catalog.refreshTable(name)
+        _sync(spark, name, settings.layer(folder), partitions)
     return list(PUBLISHED_TABLES)
 
 
@@ -64,8 +119,9 @@ def idempotent_load(
     """Replace this run's rows of `table` by `source`, matched by column name; rows inserted.
 
     A table with a `process_id` column keeps the rows of other runs: only the partition of this
-    run is overwritten. Any other table is replaced as a whole. Table columns the source lacks
-    become NULL; a source column the table lacks is an error.
+    run is replaced. Any other table is replaced as a whole. Table columns the source lacks
+    become NULL; a source column the table lacks is an error. The rows are written to a folder of their own
+    first, as those of a run are, and the table is then pointed at it: a load that fails changes nothing.
     """
     for name, value in (extra_columns or {}).items():
         source = source.withColumn(name, F.lit(value))
@@ -74,18 +130,29 @@ def idempotent_load(
     if unknown:
         raise ValueError(f"{table} has no column {', '.join(sorted(unknown))}")
     per_run = "process_id" in target.fieldNames()
-    seen = Observation()
     rows = source.select(
         *[
             (F.col(f.name) if f.name in source.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in target
             if not (per_run and f.name == "process_id")
         ]
-    ).observe(seen, F.count(F.lit(1)).alias("rows"))
-    run = _literal(process_id).replace("{", "{{").replace("}", "}}")  # braces name arguments of spark.sql
-    partition = f"PARTITION (process_id = {run})" if per_run else ""
-    spark.sql(f"INSERT OVERWRITE TABLE {table} {partition} SELECT * FROM {{rows}}", rows=rows)
-    return seen.get["rows"]
+    )
+    partition = partition_folder(process_id=process_id)
+    version = new_version(_location(spark, table))
+    folder = f"{version}/{partition}" if per_run else version
+    write_layer(rows, folder)
+    if per_run:
+        point(spark, table, {partition: folder})
+    else:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(folder)}")
+        spark.catalog.refreshTable(table)
+    return spark.read.schema(rows.schema).parquet(folder).count()  # from the footers
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    """Where the table's versions lie."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    return found.split("/version=", 1)[0]
 
 
 def load_directory(
@@ -95,8 +162,10 @@ def load_directory(
     process_id: str,
     extra_columns: dict[str, str] | None = None,
 ) -> int:
-    """Load a Parquet folder (hive partitions, columns by name) into a table."""
-    source = spark.read.option("mergeSchema", True).parquet(path)
+    """Load a layer or Parquet folder (hive partitions, columns by name) into a table."""
+    source = read_layer(spark, path, merge_schema=True)
+    if source is None:
+        raise ValueError(f"nothing to load below {path}")
     return idempotent_load(spark, source, table, process_id, extra_columns)
 
 

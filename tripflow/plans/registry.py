@@ -20,7 +20,7 @@ from ..functions.amounts import exact_sum
 from ..operators import conform, diagnose, enrich, marts, quality
 from ..session import adopt
 from ..sources import feeds, files, fixture
-from ..sources.layers import write_layer
+from ..sources.layers import commit_run, read_layer, write_layer
 from . import pipeline, publish, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ class Flow:
     def silver(self) -> DataFrame:
         return enrich.to_silver(self.bronze(), LIMITS, F.lit("2024-01-01").cast("date"))
 
+    def counted(self) -> DataFrame:
+        """Silver with the copies of each trip, in one pass."""
+        return enrich.to_silver_with_copies(self.bronze(), LIMITS, F.lit("2024-01-01").cast("date"))
+
     def metrics_of(self, *columns: str) -> DataFrame:
         """Derived columns of every input trip, without deduplication."""
         return enrich.with_metrics(self.keyed(), LIMITS).select("trip_id", *columns)
@@ -74,7 +78,7 @@ class Flow:
 
     def inventory(self) -> DataFrame:
         """Inventory of the table folder itself."""
-        footers = files.scan_footers(self.spark, files.list_parquet(self.spark, self.sf_dir))
+        footers = files.scan_footers(files.listing(self.spark, self.sf_dir))
         return files.audit(footers, RUN, _at())
 
     def report(self, name: str) -> DataFrame:
@@ -135,9 +139,18 @@ def raw_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+_inventories: dict[tuple[str, str], str] = {}
+
+
 def _raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory of the raw files, taken once per session and table folder."""
     adopt(spark)
-    return files.inventory(spark, raw_files(spark, sf_dir), RUN, processed_at=_at())
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _inventories:
+        rows, path = files.inventory(spark, raw_files(spark, sf_dir), RUN, processed_at=_at()), scratch(spark, "inventory")
+        rows.write.parquet(path)
+        _inventories[key] = path
+    return spark.read.parquet(_inventories[key])
 
 
 def _diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +234,7 @@ def _bronze_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     inventory = _raw_inventory(spark, sf_dir).filter("ingested")
     found = diagnose.diagnose(inventory, diagnose.contract_fields(spark)).filter("is_recoverable")
     usable = inventory.join(found.select("file_path"), "file_path", "left_semi")
-    bronze, _ = feeds.conform_groups(feeds.feed_groups(spark, usable), _at())
+    bronze, _ = feeds.conform_groups(feeds.feed_groups(spark, usable, _raw_inventory(spark, sf_dir)), _at())
     return bronze
 
 
@@ -240,6 +253,78 @@ def _finished_run(spark: SparkSession, sf_dir: str) -> tuple[Settings, pipeline.
     return _runs[key]
 
 
+def incremental_run(spark, sf_dir):
+    """Two incremental runs into one lake, the first over one feed only: which run took which delivery."""
+    lake = {"root": scratch(spark, "incremental"), "database": f"tripflow_{uuid4().hex[:12]}", "incremental": True}
+    root = raw_files(spark, sf_dir)
+    for process_id, raw_dir in (("ETL-A", f"{root}/yellow"), ("ETL-B", root)):
+        settings = Settings(raw_dir=raw_dir, **lake)
+        pipeline.run(spark, settings, end=4, process_id=process_id)
+    taken = read_layer(spark, settings.layer("audit", "ledger")).groupBy(
+        "process_id", "service_type", "partition_year", "partition_month"
+    ).agg(F.sum("record_count").alias("records"))
+    bronze = read_layer(spark, settings.layer("bronze"), merge_schema=True)
+    arrived = bronze.groupBy("service_type").agg(F.count("*").alias("bronze_of_service"))
+    return taken.join(arrived, "service_type")
+
+
+def manifest_files(spark, sf_dir):
+    """Trips' file names as deliveries, by odd and even line, against a manifest of the months of three years."""
+    trips = Flow(spark, sf_dir).bronze()
+    delivered = trips.select(F.col("source_file").alias("file_name"), F.col("payment_type") % 2).distinct()
+    months = spark.range(36).select(F.date_format(F.add_months(F.lit("2017-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM").alias("month"))
+    services = trips.select("service_type").distinct()
+    expected = services.join(months, F.length("service_type") > 0).select(F.concat("service_type", F.lit("_tripdata_"), "month", F.lit(".parquet")).alias("file_name"))
+    return files.compare_manifest(expected, delivered)
+
+
+def schema_versions(spark, sf_dir):
+    """Schema hashes and records of each feed's readable files."""
+    return (
+        _raw_inventory(spark, sf_dir).filter("ingested").groupBy("service_type")
+        .agg(F.count_distinct("schema_hash").alias("versions"), F.sum("record_count").alias("records"))
+    )
+
+
+def file_contents(spark, sf_dir):
+    """Per feed: whether all bytes could be read, no two files hold the same, and sizes were measured; and the records."""
+    readable = _raw_inventory(spark, sf_dir).filter("ingested").select("service_type", "file_path", "record_count", "file_size_mb")
+    hashes = files.file_hashes(readable)
+    return readable.join(hashes, "file_path").groupBy("service_type").agg(
+        F.every(F.col("file_hash") != "UNREADABLE").alias("all_readable"),
+        (F.count_distinct("file_hash") == F.count("*")).alias("all_different"),
+        F.every(F.col("file_size_mb") >= 0).alias("measured"),
+        F.sum("record_count").alias("records"),
+    )
+
+
+def inventory_load(spark, sf_dir):
+    """Inventory records as text, some of them unreadable, loaded twice under one run."""
+    counted = Flow(spark, sf_dir).bronze().groupBy("source_file").agg(F.count("*").alias("n"), F.max("pickup_datetime").alias("last"))
+    odd = F.col("n") % 3 == 0
+    records = counted.select(
+        F.col("source_file").alias("file_name"), F.when(odd, "many").otherwise(F.col("n").cast("string")).alias("record_count"),
+        F.when(odd, "later").otherwise(F.col("last").cast("string")).alias("processed_at"), F.lit("19").alias("column_count"),
+    )
+    table = f"inventory_{uuid4().hex[:12]}"
+    publish.create_table(spark, table, "audit_file_inventory", scratch(spark, "inventory"))
+    for _ in range(2):
+        publish.load_inventory(spark, records, table, "ETL-A")
+    return spark.table(table).select("process_id", "file_name", "record_count", "column_count", "processed_at")
+
+
+def merged_unique_trips(spark, sf_dir):
+    """Distinct trips from sketches of two overlapping runs, beside the exact number: their error stays in its bound."""
+    flow = Flow(spark, sf_dir).with_stored_silver()
+    path, period = scratch(spark, "sketches"), ["service_type", "year", "month"]
+    for process_id, part in (("ETL-A", "payment_type <= 4"), ("ETL-B", "payment_type >= 3")):
+        commit_run(reports.trip_sketches(flow.gold().where(part)), path, process_id)
+    merged = reports.merged_unique_trips(read_layer(spark, path)).withColumnRenamed("unique_trips", "estimate")
+    exact = reports.unique_trips(flow.gold())
+    off = F.abs(F.col("estimate") - F.col("unique_trips"))
+    return exact.join(merged, period).select(*period, "unique_trips", (off <= 1 + F.col("unique_trips") * 0.05).alias("within_bound"))
+
+
 # ---------------------------------------------------------------- query bodies
 
 def file_inventory(spark, sf_dir):
@@ -257,14 +342,14 @@ def file_row_counts(spark, sf_dir):
 
 def schema_hash(spark, sf_dir):
     adopt(spark)
-    return files.scan_footers(spark, files.list_parquet(spark, sf_dir)).select(
+    return files.scan_footers(files.listing(spark, sf_dir)).select(
         paths.file_name(F.col("file_path")).alias("file_name"), "schema_hash"
     )
 
 
 def file_hash(spark, sf_dir):
     adopt(spark)
-    return files.file_hashes(spark, files.list_parquet(spark, sf_dir)).select(
+    return files.file_hashes(files.listing(spark, sf_dir)).select(
         paths.file_name(F.col("file_path")).alias("file_name"), "file_hash"
     )
 
@@ -500,6 +585,12 @@ def queries() -> dict[str, Query]:
         "verification_report": verification_report,
         "pipeline_revenue": pipeline_revenue,
         "final_stats": final_stats,
+        "incremental_run": incremental_run,
+        "manifest_files": manifest_files,
+        "schema_versions": schema_versions,
+        "file_contents": file_contents,
+        "inventory_load": inventory_load,
+        "merged_unique_trips": merged_unique_trips,
     }
     found |= {f"conform_{s}": _conformed(s) for s in C.SERVICES}
     found |= {
@@ -542,8 +633,9 @@ def queries() -> dict[str, Query]:
         "rejected_records": lambda s, d: Flow(s, d).evidence(),
         "quality_metrics": lambda s, d: Flow(s, d).quality(),
         "quality_metrics_join": quality_metrics_join,
-        "quality_metrics_by_period": lambda s, d: quality.quality_metrics_by_period(
-            Flow(s, d).keyed(), Flow(s, d).silver(), RULES
+        "quality_metrics_by_period": lambda s, d: quality.quality_metrics_by_period(Flow(s, d).counted(), RULES),
+        "survivors": lambda s, d: enrich.survivors(Flow(s, d).keyed()).select(
+            "trip_id", "copies", "trip_distance", "tip_amount", "tolls_amount", "payment_type", "total_amount"
         ),
         "rejection_rate_gate": lambda s, d: quality.rejection_rate_gate(Flow(s, d).silver(), RULES, LIMITS),
         "gold_trips_clean": lambda s, d: Flow(s, d).gold(),
@@ -553,7 +645,7 @@ def queries() -> dict[str, Query]:
         "suspicious_profile": lambda s, d: reports.suspicious_profile(Flow(s, d).silver()),
         "suspicious_sample": lambda s, d: reports.suspicious_sample(Flow(s, d).silver()),
         "phase_counters": lambda s, d: reports.phase_counters(
-            Flow(s, d).keyed(), Flow(s, d).silver(), quality.is_rejected(RULES), quality.violations(RULES)
+            Flow(s, d).counted(), quality.is_rejected(RULES), quality.violations(RULES)
         ),
     }
     table_reports = (

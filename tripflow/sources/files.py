@@ -1,15 +1,16 @@
 """File audit: listing, footers, inventory, content hashes and page decoding.
 
 Footers, hashes and pages are read inside tasks; a file that cannot be read becomes a row with a
-message, never an exception. Only the list of paths passes through the driver, as it does in any
-Spark file source.
+message, never an exception. Paths are rows of frames; the driver holds them in the scan's file index
+only, as in any Spark file source.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from urllib.parse import quote, unquote, urlparse
+from functools import reduce
+from urllib.parse import quote, urlparse
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -27,13 +28,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FOOTER_DDL = (
     "file_path STRING, length BIGINT, record_count BIGINT, column_count INT, row_groups INT, "
     "columns ARRAY<STRUCT<name: STRING, type: STRING>>, schema_json STRING, schema_hash STRING, "
-    "error_message STRING"
+    "error_message STRING, modified TIMESTAMP"
 )
 FOOTER_FIELDS = [
     "file_path", "length", "record_count", "column_count", "row_groups", "columns",
-    "schema_json", "schema_hash", "error_message",
+    "schema_json", "schema_hash", "error_message", "modified",
 ]
 PATHS_PER_TASK = 64
+FOLDERS_PER_TASK = 16
 
 
 def plain_path(path: str) -> str:
@@ -97,7 +99,7 @@ def _footer(path: str) -> dict:
         info = file_system.get_file_info(inner)
         if not info.is_file:
             return row
-        row["length"] = info.size
+        row["length"], row["modified"] = info.size, info.mtime
         if info.size == 0:
             return row
         with file_system.open_input_file(inner) as source:
@@ -116,10 +118,28 @@ def _footer(path: str) -> dict:
     return row
 
 
+def _children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Folders and Parquet files in each folder, without hidden ones."""
+    from pyarrow import fs
+
+    kinds = {fs.FileType.Directory: True, fs.FileType.File: False}
+    for batch in batches:
+        found = []
+        for folder in batch["file_path"]:
+            file_system, inner = _locate(folder)
+            found += [
+                (f"{folder}/{i.base_name}", kinds[i.type])
+                for i in file_system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+                if i.type in kinds and i.base_name[:1] not in "_." and (kinds[i.type] or i.base_name.endswith(".parquet"))
+            ]
+        yield pd.DataFrame(found, columns=["file_path", "folder"])
+
+
 def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     integers = {"length": "Int64", "record_count": "Int64", "column_count": "Int32", "row_groups": "Int32"}
     for batch in batches:
-        yield pd.DataFrame([_footer(p) for p in batch["file_path"]], columns=FOOTER_FIELDS).astype(integers)
+        found = pd.DataFrame([_footer(p) for p in batch["file_path"]], columns=FOOTER_FIELDS).astype(integers)
+        yield found.assign(modified=pd.to_datetime(found["modified"], utc=True).astype("datetime64[us, UTC]"))
 
 
 def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,35 +184,77 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 # ---------------------------------------------------------------- on the driver side
 
-def _spread(spark: SparkSession, df: DataFrame, at_least: int) -> DataFrame:
+LISTING_DDL = "file_path STRING, folder BOOLEAN"
+
+
+def _spread(df: DataFrame, tasks: int) -> DataFrame:
     """Spread rows that each stand for much work; a given number is never coalesced away."""
-    return df.repartition(max(at_least, 2 * spark.sparkContext.defaultParallelism))
+    return df.repartition(max(tasks, df.sparkSession.sparkContext.defaultParallelism))
 
 
-def paths_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
-    frame = spark.createDataFrame([(p,) for p in paths], "file_path STRING")
-    return _spread(spark, frame, -(-len(paths) // PATHS_PER_TASK))
+def _below(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """What lies in the folders, listed in tasks of a few folders each."""
+    rows = spark.createDataFrame([(f,) for f in folders], "file_path STRING")
+    return rows.repartition(max(1, -(-len(folders) // FOLDERS_PER_TASK))).mapInPandas(_children, LISTING_DDL)
 
 
-def list_parquet(spark: SparkSession, root: str) -> list[str]:
-    """All `*.parquet` files below a folder, empty ones included, sorted; none if it is absent."""
-    reader = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-    )
-    try:
-        listing = reader.load(root)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-    return sorted(plain_path(unquote(p)) for p in listing.inputFiles())
+def listing(spark: SparkSession, *roots: str) -> DataFrame:
+    """file_path of all `*.parquet` files below folders, empty ones included; no rows if they are absent.
+
+    Folders are listed in tasks, level by level; only the names of folders come to the driver. Below a file system that
+    tasks cannot list, Spark's own listing is taken, which leaves empty files out.
+    """
+    level, folders, odd = [], [], []
+    for root in roots:
+        try:
+            _locate(root)
+            level.append(plain_path(root).rstrip("/"))
+        except Exception:  # not known outside Spark
+            odd.append(root)
+    while level:
+        folders += level
+        level = [r.file_path for r in _below(spark, level).where("folder").collect()]
+    found = [_below(spark, folders).where("NOT folder").select("file_path")]
+    for root in odd:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        found.append(reader.load(root).select(F.regexp_replace("path", "^file:/+", "/").alias("file_path")))
+    return reduce(DataFrame.union, found)
+
 
+def _by_files(files: DataFrame) -> DataFrame:
+    """A bounded number of files a task."""
+    return _spread(files, -(-files.count() // PATHS_PER_TASK))
 
-def scan_footers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row per path with size, counts and schema from the footer, or the error text."""
-    return paths_frame(spark, paths).mapInPandas(_footers, FOOTER_DDL)
+
+def scan_footers(files: DataFrame) -> DataFrame:
+    """One row per file_path with size, counts and schema from the footer, or the error text."""
+    return _by_files(files.select("file_path")).mapInPandas(_footers, FOOTER_DDL)
+
+
+def manifest(spark: SparkSession, raw_dir: str, expected: tuple[ExpectedFile, ...]) -> DataFrame:
+    """The expected files as rows, with the path at which each would lie."""
+    rows = [(e.service_type, e.file_name, e.year, e.month) for e in expected]
+    frame = spark.createDataFrame(rows, "service_type STRING, file_name STRING, year STRING, month STRING")
+    folders = F.when(F.col("year").isNotNull(), F.concat(F.lit("/year="), "year", F.coalesce(F.concat(F.lit("/month="), "month"), F.lit(""))))
+    root = F.lit(plain_path(raw_dir).rstrip("/") + "/")
+    return frame.withColumn("file_path", F.concat(root, "service_type", F.coalesce(folders, F.lit("")), F.lit("/"), "file_name"))
+
+
+def compare_manifest(expected: DataFrame, delivered: DataFrame) -> DataFrame:
+    """Expected against delivered files, by name: file_name, expected, delivered (counts) and status.
+
+    expected and delivered have file_name; both shrink to a row per name before they meet. EXPECTED: once each;
+    MISSING: not delivered; UNEXPECTED: not on the list; REPEATED: delivered more often than expected.
+    """
+    sides = [
+        side.groupBy("file_name").agg(F.count("*").alias(name)) for side, name in ((expected, "expected"), (delivered, "delivered"))
+    ]
+    count = {c: F.coalesce(c, F.lit(0)) for c in ("expected", "delivered")}
+    status = (
+        F.when(F.col("expected") == 0, "UNEXPECTED").when(F.col("delivered") == 0, "MISSING")
+        .when(F.col("delivered") > F.col("expected"), "REPEATED").otherwise("EXPECTED")
+    )
+    return sides[0].join(sides[1], "file_name", "full").withColumns(count).withColumn("status", status)
 
 
 def inventory(
@@ -206,15 +268,13 @@ def inventory(
 
     Files on the expected list that are not below `raw_dir` appear as not found.
     """
-    present = list_parquet(spark, raw_dir)
-    names = {path.rsplit("/", 1)[-1] for path in present}
-    absent = [_expected_path(raw_dir, e) for e in expected if e.file_name not in names]
-    return audit(scan_footers(spark, present + absent), process_id, processed_at)
-
-
-def _expected_path(raw_dir: str, e: ExpectedFile) -> str:
-    folders = [f"year={e.year}", f"month={e.month}"] if e.year else []
-    return "/".join([plain_path(raw_dir).rstrip("/"), e.service_type, *folders, e.file_name])
+    present = listing(spark, raw_dir)
+    if not expected:
+        return audit(scan_footers(present), process_id, processed_at)
+    wanted = manifest(spark, raw_dir, expected)
+    delivered = present.select(P.file_name(F.col("file_path")).alias("file_name"))
+    absent = wanted.join(delivered, "file_name", "left_anti").select("file_path")
+    return audit(scan_footers(present.union(absent)), process_id, processed_at)
 
 
 def audit(footers: DataFrame, process_id: str, processed_at: Column | None = None) -> DataFrame:
@@ -255,6 +315,8 @@ def audit(footers: DataFrame, process_id: str, processed_at: Column | None = Non
         "row_groups",
         "columns",
         "schema_json",
+        "length",
+        "modified",
     )
 
 
@@ -266,9 +328,9 @@ def write_bytes(path: str, content: bytes) -> None:
         out.write(content)
 
 
-def file_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """MD5 of each file's bytes, read in blocks; UNREADABLE when it cannot be read."""
-    return paths_frame(spark, paths).mapInPandas(_hashes, "file_path STRING, file_hash STRING")
+def file_hashes(files: DataFrame) -> DataFrame:
+    """MD5 of the bytes of each file_path, read in blocks; UNREADABLE when it cannot be read."""
+    return _by_files(files.select("file_path")).mapInPandas(_hashes, "file_path STRING, file_hash STRING")
 
 
 def deep_validate(inventory_rows: DataFrame) -> DataFrame:
@@ -278,7 +340,7 @@ def deep_validate(inventory_rows: DataFrame) -> DataFrame:
         "file_path", F.explode(F.sequence(F.lit(0), F.col("row_groups") - 1)).alias("row_group")
     )
     shuffle_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    decoded = _spread(spark, groups, shuffle_partitions).mapInPandas(
+    decoded = _spread(groups, shuffle_partitions).mapInPandas(
         _decode, "file_path STRING, decoded_rows BIGINT, error_message STRING"
     )
     return decoded.groupBy("file_path").agg(
