@@ -61,8 +61,11 @@ NAMED = (
     ("iscNamed", "ISC", r"isc"),
     ("unlicenseNamed", "Unlicense", r"unlicense"),
 )
-#: A name counts behind a word of licensing and "under", behind an SPDX tag, or as a sentence of its own.
-_BEHIND = r"^(?:.*(?<!not )\b(?:licen[cs]ed|released|distributed|redistributed|available|published|provided|offered|covered|modify it)\b.*\bunder |(?:.* )?spdx licen[cs]e identifier )(?:.* )?"
+#: A name counts behind a word of licensing and then "under", behind an SPDX tag, or as a sentence of its own. What follows the
+#: first of these is found in one pass each, so a sentence that repeats them a thousand times is read as fast as any other.
+_LICENSING = r"(?<!not )\b(?:licen[cs]ed|released|distributed|redistributed|available|published|provided|offered|covered|modify it)\b(.*)$"
+_UNDER = r"\bunder (.*)$"
+_TAG = r"(?:^| )spdx licen[cs]e identifier (.*)$"
 # Licence rules in the order in which they are tried: name and sequence of sentence identifiers. Fixed values.
 RULES = (
     ("MIT", ("mitGrant", "mitNotice", "asIs")),
@@ -113,11 +116,14 @@ def sentence_ids(sentence: Column) -> Column:
             found = F.when(sentence.rlike(f"^(?:{pattern})$"), F.array(F.lit(name))).otherwise(found)
         return found
 
-    def names(pattern: str) -> Column:
-        return sentence.rlike(rf"{_BEHIND}(?:{pattern})(?![\p{{L}}\p{{N}}])") | sentence.rlike(rf"^(?:the )?(?:{pattern})(?: licen[cs]e)?$") & sentence.rlike("licen[cs]e")
+    def names(pattern: str, behind: Column) -> Column:
+        return F.exists(behind, lambda x: x.rlike(rf"(?:^| )(?:{pattern})(?![\p{{L}}\p{{N}}])")) | sentence.rlike(rf"^(?:the )?(?:{pattern})(?: licen[cs]e)?$") & sentence.rlike("licen[cs]e")
 
     whole = first(SENTENCES[:-2])
-    named = F.filter(F.array(*[F.when(names(pattern), F.lit(name)) for name, _, pattern in NAMED]), lambda x: x.isNotNull())
+    under = F.regexp_extract(F.regexp_extract(sentence, _LICENSING, 1), _UNDER, 1)
+    # bound once for all names
+    behind = F.array(F.array(under, F.regexp_extract(sentence, _TAG, 1)))
+    named = F.flatten(F.transform(behind, lambda b: F.array_compact(F.array(*[F.when(names(pattern, b), F.lit(name)) for name, _, pattern in NAMED]))))
     return F.when(F.size(whole) > 0, whole).when(F.size(named) > 0, named).otherwise(first(SENTENCES[-2:]))
 
 
