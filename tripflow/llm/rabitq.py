@@ -34,12 +34,25 @@ STEP = 256
 def encode(v: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed sign bits, distance to the centre, and inner product of the unit code with the unit vector."""
     r = (v - centre) @ turn
-    norm = np.sqrt((r * r).sum(axis=1))
+    norm = np.sqrt((r * r).sum(axis=1))  # components are scaled to 1 at most
     dim = v.shape[1]
     product = np.abs(r).sum(axis=1) / (np.where(norm > 0, norm, 1.0) * np.sqrt(dim))
     return np.packbits(r > 0, axis=1), norm, np.where(norm > 0, product, 1.0)
 
 
+def distances(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of v to q; squares that would leave the range of doubles are taken of scaled components."""
+    apart = v - q
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        plain = np.sqrt((apart**2).sum(axis=1))
+    odd = np.flatnonzero(~((plain > 1e-150) & (plain < 1e150)))
+    if len(odd):
+        largest = np.abs(apart[odd]).max(axis=1)
+        scale = np.where((largest > 0) & np.isfinite(largest), largest, 1.0)
+        plain[odd] = scale * np.sqrt(((apart[odd] / scale[:, None]) ** 2).sum(axis=1))
+    return plain
+
+
 def bounds(bits: np.ndarray, norm: np.ndarray, product: np.ndarray, q: np.ndarray, centre: np.ndarray, turn: np.ndarray, epsilon: float = EPSILON):
     """Estimated squared distances (query, vector) and the half-width of their bounds."""
     dim = q.shape[1]
@@ -69,9 +82,13 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, seed: int = SEED,
     vectors are equal. Vectors are compared with vectors of their own length. An empty table gives no rows.
     """
     rows = stored(usable(vectors, vec_id, embedding).distinct())
-    # the centre of each length: one row of sums per component
-    parts = rows.select("dim", F.posexplode("v").alias("i", "x")).groupBy("dim", "i").agg(F.avg("x").alias("m"))
-    centres = parts.groupBy("dim").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda x: x["m"]).alias("centre"))
+    # the centre and the largest component of each length: one row of sums per component
+    components = rows.select("dim", F.posexplode("v").alias("i", "x"))
+    largest = components.groupBy("dim").agg(F.max(F.abs("x")).alias("largest"))
+    parts = components.join(largest, "dim").groupBy("dim", "i").agg(F.avg(F.col("x") / F.col("largest")).alias("m"), F.first("largest").alias("largest"))
+    centres = parts.groupBy("dim").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda x: x["m"]).alias("centre"), F.first("largest").alias("largest")
+    )
     index, sizes = _block(rows, "block", INDEX_BLOCK, seed)
     coded = "vec_id long, v array<double>, dim int, block int, bits binary, norm double, product double"
 
@@ -81,16 +98,17 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, seed: int = SEED,
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
                 centre = matrix(part.column("centre"))[0]
-                bits, norm, product = encode(matrix(part.column("v")), centre, rotation(int(dim), seed))
+                largest = part.column("largest")[0].as_py()
+                bits, norm, product = encode(matrix(part.column("v")) / largest, centre, rotation(int(dim), seed))
                 columns = [part.column(c) for c in ("vec_id", "v", "dim", "block")]
                 made = [pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(norm), pa.array(product)]
                 yield pa.RecordBatch.from_arrays(columns + made, names=["vec_id", "v", "dim", "block", "bits", "norm", "product"])
 
-    index = index.join(F.broadcast(centres), "dim").select("vec_id", "v", "dim", "block", "centre").mapInArrow(code, coded)
+    index = index.join(F.broadcast(centres), "dim").select("vec_id", "v", "dim", "block", "centre", "largest").mapInArrow(code, coded)
     asked, q_sizes = _block(rows.where(F.col("vec_id") % every == 0), "q_block", QUERY_BLOCK, seed + 1)
     # every block of the index meets every block of queries once
     other = lambda name: F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias(name)
-    asked = asked.join(F.broadcast(sizes), "dim").join(F.broadcast(centres), "dim").select("vec_id", "v", "dim", "centre", "q_block", other("block"))
+    asked = asked.join(F.broadcast(sizes), "dim").join(F.broadcast(centres), "dim").select("vec_id", "v", "dim", "centre", "largest", "q_block", other("block"))
     index = index.join(F.broadcast(q_sizes), "dim").select(*index.columns, other("q_block"))
 
     def meet(key, of_index: pa.Table, of_queries: pa.Table) -> pa.Table:
@@ -103,18 +121,18 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, seed: int = SEED,
             bits = np.frombuffer(b"".join(of_index["bits"].to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
             norm, product = of_index["norm"].to_numpy(), of_index["product"].to_numpy()
             ids, v, bits, norm, product = ids[order], v[order], bits[order], norm[order], product[order]
-            centre = np.array(of_queries["centre"][0].as_py())
+            centre, largest = np.array(of_queries["centre"][0].as_py()), of_queries["largest"][0].as_py()
             q_ids, q = of_queries["vec_id"].to_numpy(), matrix(of_queries["v"].combine_chunks())
             for at in range(0, len(q_ids), STEP):
                 some, own = q[at : at + STEP], q_ids[at : at + STEP]
-                near, width = bounds(bits, norm, product, some, centre, turn)
+                near, width = bounds(bits, norm, product, some / largest, centre, turn)
                 mine = own[:, None] == ids
                 upper = np.where(mine, np.inf, near + width)
                 kth = np.partition(upper, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
-                keep = (near - width <= kth[:, None]) & ~mine
+                keep = ~(near - width > kth[:, None]) & ~mine  # what cannot be told stays
                 for i in range(len(some)):
                     chosen = np.flatnonzero(keep[i])
-                    exact = np.sqrt(((v[chosen] - some[i]) ** 2).sum(axis=1))
+                    exact = distances(v[chosen], some[i])
                     best = np.lexsort((ids[chosen], exact))[:k]
                     out.append((np.full(len(best), own[i]), ids[chosen][best], exact[best]))
         columns = [np.concatenate([x[c] for x in out]) if out else np.array([], dtype=t) for c, t in enumerate((np.int64, np.int64, np.float64))]
