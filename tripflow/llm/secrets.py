@@ -44,23 +44,49 @@ FINDINGS = "array<struct<start:bigint,kind_no:int,end:bigint>>"
 LEDGER = f"blob string, rule_version string, findings {FINDINGS}"
 
 
+#: Finds whose positions are added up together.
+BLOCK = 256
+
+
+def _let(value: Column, use) -> Column:
+    """use(value), with value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _finds(text: Column, number: int, rule: Rule) -> Column:
-    """Array of (start, kind_no, end) in code points. Positions follow from the gaps between matches."""
+    """Array of (start, kind_no, end) in code points. Positions follow from the lengths of gaps and matches, added up in blocks,
+    so that no array grows with all finds of a text."""
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    tested = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+    tested = found if rule.group == 0 else F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
     gaps = F.split(text, rule.pattern, -1)
-    # the last gap has no match behind it
-    rows = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("found"), tested.alias("tested"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(FINDINGS).alias("spans"))
+    zero = F.lit(0).cast("long")
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.char_length(x["gap"])
-        end = begin + F.char_length(x["found"])
-        span = F.struct(begin.alias("start"), F.lit(number).alias("kind_no"), end.alias("end"))
-        spans = F.when(F.char_length(x["tested"]) >= rule.least, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+    def spans_of(rows: Column) -> Column:
+        n_blocks = F.ceil(F.size(rows) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda b: F.slice(rows, b * BLOCK + 1, F.lit(BLOCK)))
+        return F.when(F.size(rows) > 0, _let(blocks, placed)).otherwise(F.array().cast(FINDINGS))
 
-    return F.when(text.rlike(rule.hint), F.aggregate(rows, start, step)["spans"]).otherwise(F.array().cast(FINDINGS))
+    def placed(blocks: Column) -> Column:
+        length = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda s, x: s + x["gap"] + x["found"]))
+        none = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("starts"))
+        starts = F.aggregate(length, none, lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["starts"], F.array(s["at"])).alias("starts")))["starts"]
+        return F.flatten(F.zip_with(blocks, starts, in_block))
+
+    def in_block(block: Column, start: Column) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            begin = state["at"] + x["gap"]
+            end = begin + x["found"]
+            span = F.struct(begin.alias("start"), F.lit(number).alias("kind_no"), end.alias("end"))
+            spans = F.when(x["good"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
+            return F.struct(end.alias("at"), spans.alias("spans"))
+
+        return F.aggregate(block, F.struct(start.alias("at"), F.array().cast(FINDINGS).alias("spans")), step)["spans"]
+
+    # the last gap has no match behind it
+    zipped = _let(found, lambda f: F.arrays_zip(F.slice(gaps, F.lit(1), F.size(f)).alias("gap"), f.alias("found"), (f if rule.group == 0 else tested).alias("tested")))
+    size = lambda c: F.char_length(c).cast("long")
+    rows = F.transform(zipped, lambda x: F.struct(size(x["gap"]).alias("gap"), size(x["found"]).alias("found"), (F.char_length(x["tested"]) >= rule.least).alias("good")))
+    return F.when(text.rlike(rule.hint), _let(rows, spans_of)).otherwise(F.array().cast(FINDINGS))
 
 
 def findings(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
