@@ -108,15 +108,19 @@ def _text_features(text: str, linked: int, tag: str) -> list[str]:
     ]
 
 
-def _place_features(around: Iterable[str]) -> list[str]:
-    """Whether the block lies in a landmark of main text, and in none of other matter."""
-    has = set(around)
-    return [f"landmark:{int(bool(LANDMARKS & has))}{int(bool(NOT_MAIN & has))}"]
+def _without_landmarks(features: list[str]) -> list[str]:
+    """Features of a block as if its page had no landmark of main text."""
+    return [f for f in features if f not in LANDMARKS]
 
 
-def _without_landmarks(features: list[str]) -> list[str]:
-    """Features of a block on a page that has no landmark of main text: landmark:xy becomes plain:y."""
-    return [f"plain:{f[-1]}" if f.startswith("landmark:") else f for f in features if f not in LANDMARKS]
+def _open(m: re.Match) -> bool:
+    """Whether a comment, character data or raw element has no end."""
+    text = m[0]
+    if text.startswith("<!--"):
+        return not text.endswith("-->")
+    if text.startswith("<![CDATA["):
+        return not text.endswith("]]>")
+    return bool(m[1]) and not re.search(rf"</{m[1]}\s*>\Z", text, re.I)
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -135,12 +139,13 @@ def blocks(page: str | None) -> list[Block]:
                 linked = len(" ".join(html_text.unescape("".join(links)).split())) if links else 0
                 tag = next((name for name, _ in reversed(stack) if name not in INLINE), "none")
                 around = stack[-1][1] if stack else ()
-                found.append(Block(text, [*around, *_place_features(around), *_text_features(text, min(linked, len(text)), tag)]))
+                found.append(Block(text, [*around, *_text_features(text, min(linked, len(text)), tag)]))
             run.clear()
             links.clear()
 
-    at = 0
-    for m in TAG.finditer(page):
+    at, last, end = 0, None, page.rfind(">") + 1  # no tag ends behind the last >, so none is looked for there
+    for last in TAG.finditer(page, 0, end):
+        m = last
         if m.start() > at:
             run.append(page[at : m.start()])
             if in_link:
@@ -175,12 +180,10 @@ def blocks(page: str | None) -> list[Block]:
             if name not in VOID:
                 around = stack[-1][1] if stack else ()
                 stack.append((name, around + tuple(f for f in _element_features(name, m[4]) if f not in around)))
-    if at < len(page):
-        run.append(page[at:])
+    if not (last and at == end and _open(last)):  # what is still open takes the rest of the page
+        opened = [x for x in (page.find("<!--", at), page.find("<![CDATA[", at)) if x >= 0]
+        run.append(page[at : min(opened, default=len(page))])
     close()
-    if not any(weak_labels(found)):
-        for b in found:
-            b.features = _without_landmarks(b.features)
     return found
 
 
@@ -189,8 +192,12 @@ def blocks(page: str | None) -> list[Block]:
 
 
 def weak_labels(page: list[Block]) -> list[int]:
-    """1 for blocks inside an article or main element (the page's landmarks) and outside of navigation, forms and the like."""
-    return [int("landmark:10" in b.features) for b in page]
+    """1 for blocks inside an article or main element (the page's landmarks) and outside of navigation, forms and the like.
+
+    Labels of pages to learn from only: what is learned are weights of tags, roles, class words and text, and pages are
+    decoded by these alone.
+    """
+    return [int(not LANDMARKS.isdisjoint(b.features) and NOT_MAIN.isdisjoint(b.features)) for b in page]
 
 
 WRAPS = (
