@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, with_columns_by_arrow, worker_memory
-from .pieces import MARK, NORMAL, Lattice, default_path, lattice, prefixes, read_model
+from .pieces import MARK, NORMAL, Lattice, Trie, default_path, lattice, read_model
 
 UNDETERMINED = "und"
-#: Bound on the labelled texts used for fitting; they are picked by a hash of doc_id, as evenly as it falls.
-TRAIN_DOCS = 10_000
+#: Bound (about) on the labelled texts of each language used for fitting; they are picked by a hash of doc_id.
+TRAIN_DOCS = 3_000
 ROUNDS = 2
 SMOOTHING = 0.01
 #: Words scored together, and words a worker remembers: both bound memory.
@@ -70,16 +70,16 @@ def forward(lat: Lattice, log_p: np.ndarray) -> np.ndarray:
     return alpha
 
 
-def word_scores(words: Sequence[str], known: dict[str, int], log_p: np.ndarray) -> np.ndarray:
+def word_scores(words: Sequence[str], trie: Trie, log_p: np.ndarray) -> np.ndarray:
     """Log probability of each word (with its mark) per language."""
-    lat = lattice(words, known, len(log_p) - 1)
+    lat = lattice(words, trie, len(log_p) - 1)
     alpha = forward(lat, log_p)
     return alpha[np.cumsum(lat.lengths + 1) - 1]
 
 
-def expected_counts(words: Sequence[str], counts: np.ndarray, known: dict[str, int], log_p: np.ndarray) -> np.ndarray:
+def expected_counts(words: Sequence[str], counts: np.ndarray, trie: Trie, log_p: np.ndarray) -> np.ndarray:
     """Expected number of times that each piece is used (log_p of one language, as a column), over all segmentations."""
-    lat = lattice(words, known, len(log_p) - 1)
+    lat = lattice(words, trie, len(log_p) - 1)
     alpha = forward(lat, log_p)[:, 0]
     base = np.r_[0, np.cumsum(lat.lengths + 1)]
     beta = np.full(base[-1], -np.inf)
@@ -97,21 +97,22 @@ def expected_counts(words: Sequence[str], counts: np.ndarray, known: dict[str, i
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", train_docs: int = TRAIN_DOCS, rounds: int = ROUNDS, path: str | None = None) -> Model:
-    """Probabilities from the rows of docs with text, language and id: about train_docs of them at most, picked by hash.
+    """Probabilities from the rows of docs with text, language and id: about train_docs of each language at most, picked by
+    hash, so that a rare language is learned at every size; all rows count for the prior.
 
     What reaches the driver is bounded by vocabulary times languages. No usable row gives a model without languages.
     """
     spark, pieces = docs.sparkSession, vocabulary(path)
     usable = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(doc_id).isNotNull())
-    n = usable.count()
-    picked = F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(1 << 20)) < F.lit(min(1.0, train_docs / max(n, 1)) * (1 << 20))
+    prior = {r["lang"]: r["n"] for r in usable.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
+    languages = tuple(sorted(prior))
+    share = F.create_map(*[F.lit(x) for name in languages for x in (name, int(min(1.0, train_docs / prior[name]) * (1 << 20)))]) if languages else F.create_map()
+    picked = F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(1 << 20)) < (F.element_at(share, F.col(lang)) if languages else F.lit(0))
     sample = usable.where(picked).select(F.col(lang).alias("lang"), F.lower(F.col(text)).alias("text"))
     words = stored(
         sample.select("lang", F.explode(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"))).alias("word"))
         .groupBy("lang", "word").agg(F.count("*").alias("n"))
     )
-    prior = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = tuple(sorted(prior))
     log_p = np.full((len(pieces) + 1, max(len(languages), 1)), -np.log(len(pieces) + 1))
     for _ in range(rounds if languages else 0):
         shared = spark.sparkContext.broadcast((pieces, languages, log_p))
@@ -119,7 +120,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         def expect(batches, shared=shared):
             worker_memory(("expect",), dict)  # drops what an earlier operator has left
             pieces, languages, log_p = shared.value
-            known = prefixes(pieces)
+            trie = Trie(pieces)
             sums = np.zeros_like(log_p)
             for batch in batches:
                 column = dict(zip(batch.schema.names, batch.columns, strict=True))
@@ -128,7 +129,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
                 for k, name in enumerate(languages):
                     rows = np.flatnonzero(owner == name)
                     if len(rows):
-                        sums[:, k] += expected_counts([MARK + names[i] for i in rows], counts[rows], known, log_p[:, [k]])
+                        sums[:, k] += expected_counts([MARK + names[i] for i in rows], counts[rows], trie, log_p[:, [k]])
             piece, k = np.nonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(k), pa.array(sums[piece, k])], names=["piece", "k", "n"])
 
@@ -142,40 +143,66 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
 
 
 class _Scorer:
-    """Scores texts; remembers words it has scored, until they are REMEMBERED."""
+    """Scores texts; remembers words it has scored in two generations of REMEMBERED // 2: a word that is met again moves to
+    the younger one, and the elder one goes when the younger is full."""
 
     def __init__(self, model: Model):
-        self.model, self.known, self.ids = model, prefixes(model.pieces), {}
-        self.scores = np.zeros((0, len(model.languages)))
+        self.model, self.trie = model, Trie(model.pieces)
+        self._begin()
+        self.older, self.older_scores, self.older_letters = {}, self.scores[:0], self.letters[:0]
+
+    def _begin(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.scores = np.zeros((1024, len(self.model.languages)))
+        self.letters = np.zeros(1024, dtype=bool)  # whether a word holds any letter
+
+    def _rows(self, n: int) -> int:
+        """Room for n more words; where they begin."""
+        at = len(self.ids)
+        while at + n > len(self.scores):
+            self.scores, self.letters = np.vstack([self.scores, np.zeros_like(self.scores)]), np.r_[self.letters, np.zeros_like(self.letters)]
+        return at
+
+    def _keep(self, words: list[str], scores: np.ndarray, letters: np.ndarray) -> None:
+        at = self._rows(len(words))
+        self.scores[at : at + len(words)], self.letters[at : at + len(words)] = scores, letters
+        self.ids.update(zip(words, range(at, at + len(words)), strict=True))
 
     def learn(self, words: list[str]) -> None:
-        new = list(dict.fromkeys(w for w in words if w not in self.ids))
+        if len(self.ids) > REMEMBERED // 2:
+            self.older, self.older_scores, self.older_letters = self.ids, self.scores, self.letters
+            self._begin()
+        missing = set(words).difference(self.ids)
+        again = [w for w in missing if w in self.older]
+        if again:
+            rows = [self.older[w] for w in again]
+            self._keep(again, self.older_scores[rows], self.older_letters[rows])
+            missing.difference_update(again)
+        new = sorted(missing)
         if not new:
             return
         # a run may hold number signs that are no letters: score its letters, run by run
-        runs = ["".join(c if c.isalpha() else " " for c in w).split() for w in new]
-        plain = [i for i, r in enumerate(runs) if r == [new[i]]]
-        made = np.zeros((len(new), len(self.model.languages)))
-        made[plain] = word_scores([MARK + new[i] for i in plain], self.known, self.model.log_p)
+        plain = [i for i, w in enumerate(new) if w.isalpha()]
+        made, letters = np.zeros((len(new), len(self.model.languages))), np.zeros(len(new), dtype=bool)
+        made[plain], letters[plain] = word_scores([MARK + new[i] for i in plain], self.trie, self.model.log_p), True
         for i in set(range(len(new))) - set(plain):
-            if runs[i]:
-                made[i] = word_scores([MARK + r for r in runs[i]], self.known, self.model.log_p).sum(axis=0)
-        at = len(self.scores)
-        self.scores = np.vstack([self.scores, made])
-        self.ids.update((w, at + i) for i, w in enumerate(new))
+            runs = "".join(c if c.isalpha() else " " for c in new[i]).split()
+            if runs:
+                made[i], letters[i] = word_scores([MARK + r for r in runs], self.trie, self.model.log_p).sum(axis=0), True
+        self._keep(new, made, letters)
 
     def texts(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, values = [], []
-        if len(self.ids) > REMEMBERED:
-            self.ids, self.scores = {}, self.scores[:0]
         words = [RUNS.findall(t.lower()) if t else [] for t in texts]
-        self.learn([w for ws in words for w in ws])
+        if self.model.languages:
+            self.learn([w for ws in words for w in ws])
         ids = self.ids
         for ws in words:
-            if not self.model.languages or not any(c.isalpha() for w in ws for c in w):
+            rows = [ids[w] for w in ws] if self.model.languages else []
+            if not rows or not self.letters[rows].any():
                 names.append(UNDETERMINED), values.append(0.0)
                 continue
-            total = self.model.log_prior + self.scores[[ids[w] for w in ws]].sum(axis=0)
+            total = self.model.log_prior + self.scores[rows].sum(axis=0)
             best = int(total.argmax())  # ties: the language that sorts first
             names.append(self.model.languages[best]), values.append(float(1 / np.exp(total - total[best]).sum()))
         return names, values

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -45,37 +46,65 @@ class Lattice:
     piece: np.ndarray
 
 
-def prefixes(pieces: Sequence[str]) -> dict[str, int]:
-    """Piece ids, and -1 for text that only begins pieces."""
-    known: dict[str, int] = {}
-    for p in pieces:
-        for j in range(1, len(p)):
-            known.setdefault(p[:j], -1)
-    for i, p in enumerate(pieces):
-        known[p] = i
-    return known
-
-
-def lattice(words: Sequence[str], known: dict[str, int], unknown: int) -> Lattice:
+class Trie:
+    """The pieces, character by character, as sorted arrays, so that many places of many words take a step at once.
+
+    A step is numbered node * letters + letter; node 0 is the root. piece_at has the id of the piece that ends in a node, or -1.
+    """
+
+    def __init__(self, pieces: Sequence[str]):
+        self.alphabet = np.zeros(sys.maxunicode + 2, dtype=np.int32)  # 0: in no piece
+        letters = sorted({c for p in pieces for c in p})
+        self.alphabet[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.letters = len(letters) + 1
+        steps: dict[tuple[int, str], int] = {}
+        piece_at = {}
+        for i, p in enumerate(pieces):
+            node = 0
+            for c in p:
+                node = steps.setdefault((node, c), len(steps) + 1)
+            piece_at[node] = i
+        numbers = np.array([node * self.letters + int(self.alphabet[ord(c)]) for node, c in steps], dtype=np.int64)
+        order = np.argsort(numbers)
+        self.steps, self.target = numbers[order], np.arange(1, len(steps) + 1)[order]
+        self.piece_at = np.full(len(steps) + 1, -1, dtype=np.int64)
+        self.piece_at[list(piece_at)] = list(piece_at.values())
+
+    def follow(self, node: np.ndarray, letter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(indices of the steps that exist, nodes that they lead to)."""
+        number = node * self.letters + letter
+        at = np.searchsorted(self.steps, number).clip(max=max(len(self.steps) - 1, 0))
+        there = np.flatnonzero((letter > 0) & (self.steps[at] == number)) if len(self.steps) else at[:0]
+        return there, self.target[at[there]]
+
+
+def lattice(words: Sequence[str], trie: Trie, unknown: int) -> Lattice:
     """All pieces that stand anywhere in the words; a character that is no piece gets an arc `unknown`."""
-    word, start, end, piece = [], [], [], []
-    get = known.get
-    for w, text in enumerate(words):
-        n = len(text)
-        for i in range(n):
-            single = get(text[i], -2)
-            if single < 0:
-                word.append(w), start.append(i), end.append(i + 1), piece.append(unknown)
-                if single == -2:
-                    continue
-            else:
-                word.append(w), start.append(i), end.append(i + 1), piece.append(single)
-            for j in range(i + 2, n + 1):
-                p = get(text[i:j], -2)
-                if p == -2:
-                    break
-                if p >= 0:
-                    word.append(w), start.append(i), end.append(j), piece.append(p)
-    arrays = [np.array(x, dtype=np.int64) for x in (word, start, end, piece)]
-    order = np.lexsort((arrays[1], arrays[2], arrays[0]))
-    return Lattice(len(words), np.array([len(x) for x in words], dtype=np.int64), *[a[order] for a in arrays])
+    lengths = np.array([len(x) for x in words], dtype=np.int64)
+    signs = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    letters = np.r_[trie.alphabet[signs], [0]].astype(np.int64)
+    word = np.repeat(np.arange(len(words)), lengths)
+    last = np.repeat(np.cumsum(lengths), lengths)  # where the word of each place ends
+    place = np.arange(len(signs))
+    found = []
+    at, node, n = place, np.zeros(len(signs), dtype=np.int64), 0
+    while n == 0 or len(at):
+        there, node = trie.follow(node, letters[at + n])
+        if n == 0:  # every character has an arc of its own
+            alone = np.full(len(signs), unknown, dtype=np.int64)
+            one = trie.piece_at[node]
+            alone[at[there[one >= 0]]] = one[one >= 0]
+            found.append((place, 1, alone))
+        at, n = at[there], n + 1
+        if n > 1:
+            piece = trie.piece_at[node]
+            found.append((at[piece >= 0], n, piece[piece >= 0]))
+        more = np.flatnonzero(at + n < last[at])
+        at, node = at[more], node[more]
+    start = np.concatenate([x for x, _, _ in found])
+    size = np.concatenate([np.full(len(x), n, dtype=np.int64) for x, n, _ in found])
+    piece = np.concatenate([x for _, _, x in found])
+    order = np.argsort((start + size) * (len(found) + 1) - size)  # by end, then start: words lie behind each other
+    start, size, piece = start[order], size[order], piece[order]
+    base = np.r_[0, np.cumsum(lengths)][word[start]]
+    return Lattice(len(words), lengths, word[start], start - base, start - base + size, piece)
