@@ -2,13 +2,14 @@
 
 A bounded set of reference points (pivots) is drawn from the vectors and thinned, so that a dense group, however large,
 keeps few pivots and its members describe themselves by the same ones. Each vector is described by its nearest pivots, in
-order. An inverted list per pivot holds the vectors near it; all vectors of a list meet, and two become a link if their
-cosine in double precision reaches the threshold. Where no more pivots are left than describe a vector, all vectors meet.
+order. An inverted list per pivot holds the vectors that have it among the first of their order. Of the vectors that meet in
+a list, those that share enough of their pivots are candidates, and a candidate becomes a link if its cosine in double
+precision reaches the threshold. Where no more pivots are left than describe a vector, all vectors are candidates.
 
 Equal vectors are one class before anything is compared. Lists are cut into chunks of bounded size, and the chunks of a
 list meet two by two, so a pivot near a third of all vectors is many tasks. A pair is counted in the list of the first
-pivot, in number, that both hold. A meeting gives each vector's number of links and a spanning forest of its links, not
-the links, so that what goes on grows with the vectors.
+pivot, in number, in whose lists both are. A meeting gives each vector's number of links and a spanning forest of its
+links, not the links, so that what goes on grows with the vectors.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from .vectors import matrix, usable
 COSINE = 0.9
 #: Bound on the pivots, picked by hash; it bounds what the driver sends to tasks.
 PIVOTS = 1024
-#: Pivots that describe a vector. Chosen for a recall of 1.0 on the test tables.
-NEAREST = 16
+#: Pivots that describe a vector, how many of them, from the nearest, it is listed under, and how many a candidate pair shares.
+NEAREST, LISTED, SHARED = 16, 6, 3
 CHUNK = 2048
 SEED = 23
 
@@ -35,6 +36,13 @@ def describe(unit: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) -> np
     return np.argsort(-(unit @ pivots.T), axis=1, kind="stable")[:, :nearest].astype(np.int32)
 
 
+def memberships(near: np.ndarray) -> np.ndarray:
+    """A row per vector, a column per pivot: whether the vector has it."""
+    member = np.zeros((len(near), int(near.max()) + 1), dtype=bool)
+    np.put_along_axis(member, near.astype(np.int64), True, axis=1)
+    return member
+
+
 def units(v: np.ndarray) -> np.ndarray:
     scaled = v / np.abs(v).max(axis=1)[:, None]  # keeps squares in range
     return scaled / np.sqrt((scaled**2).sum(axis=1))[:, None]
@@ -102,7 +110,7 @@ def clusters(
                 yield pa.RecordBatch.from_arrays([part.column("rep"), part.column("copies"), part.column("dim"), made, lists], names=["rep", "copies", "dim", "u", "near"])
 
     described = stored(classes.select("rep", "copies", "dim", "v").mapInArrow(post, "rep long, copies long, dim int, u array<double>, near array<int>"))
-    postings = described.withColumn("pivot", F.explode("near"))
+    postings = described.withColumn("pivot", F.explode(F.slice("near", 1, LISTED)))
     sizes = postings.groupBy("dim", "pivot").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("n_chunks"))
     placed = postings.join(F.broadcast(sizes), ["dim", "pivot"])  # lengths times pivots: bounded
     chunk = F.pmod(F.xxhash64("rep"), "n_chunks").cast("int")
@@ -117,15 +125,16 @@ def clusters(
         pivot, i, j = (key[x].as_py() for x in (1, 2, 3))
         rep, copies, at = table["rep"].to_numpy(), table["copies"].to_numpy(), table["chunk"].to_numpy()
         u, near = matrix(table["u"].combine_chunks()), matrix(table["near"].combine_chunks())
-        member = np.zeros((len(rep), int(near.max()) + 1), dtype=bool)
-        np.put_along_axis(member, near.astype(np.int64), True, axis=1)
-        first = np.packbits(member[:, :pivot], axis=1)  # pivots before this one: a pair that shares one of them is another list's
+        first = np.packbits(memberships(near[:, :LISTED])[:, :pivot], axis=1)  # lists before this one: a pair that meets there is theirs
+        described = memberships(np.unique(near, return_inverse=True)[1].reshape(near.shape)).astype(np.float32)
+        enough = min(SHARED, near.shape[1])
         one, other = np.flatnonzero(at == i), np.flatnonzero(at == j)
         count = np.zeros(len(rep), dtype=np.int64)
         found_a, found_b = [], []
         for s in range(0, len(one), 512):
             some = one[s : s + 512]
-            candidate = u[some] @ u[other].T >= cosine - 1e-9  # a product of matrices may round otherwise
+            candidate = described[some] @ described[other].T >= enough
+            candidate &= u[some] @ u[other].T >= cosine - 1e-9  # a product of matrices may round otherwise
             if i == j:
                 candidate &= rep[some][:, None] < rep[other]
             a, b = np.nonzero(candidate)
