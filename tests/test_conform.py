@@ -197,3 +197,38 @@ def test_type_aliases(spark):
     frame = spark.createDataFrame([p[:2] for p in pairs], "e string, a string")
     got = [r[0] for r in frame.select(paths.types_compatible(F.col("e"), F.col("a"))).collect()]
     assert got == [p[2] for p in pairs]
+
+
+def test_a_contract_document_changes_a_run(spark, tmp_path):
+    """A feed that renames a critical column from a month on is set aside, until a document of that version is named."""
+    import json
+
+    import pyarrow.parquet as pq
+    from test_files import yellow
+
+    from tripflow.config import Settings
+    from tripflow.plans import pipeline
+
+    for month, rename in (("2023-12", False), ("2024-01", True)):
+        year, number = month.split("-")
+        folder = tmp_path / "raw" / "yellow" / f"year={year}" / f"month={number}"
+        folder.mkdir(parents=True)
+        table = yellow(10)
+        pq.write_table(table.rename_columns([{"fare_amount": "fare"}.get(c, c) if rename else c for c in table.column_names]), folder / f"yellow_tripdata_{month}.parquet")
+    before = pipeline.run(spark, Settings(root=str(tmp_path)), end=2, process_id="ETL-1")
+    assert before.phases["phase_2_3"]["bronze_records"] == 10
+    fields = C.feed_contract("yellow")
+    document = {
+        "service_type": "yellow", "valid_from": "2024-01", "fields": [{"name": {"fare_amount": "fare"}.get(f["name"], f["name"]), "type": f["type"]} for f in fields],
+        "column_mapping_to_canonical": {{"fare_amount": "fare"}.get(f["name"], f["name"]): f["canonical"] for f in fields if f["canonical"]},
+    }
+    (tmp_path / "contracts").mkdir()
+    (tmp_path / "contracts" / "yellow_2024.json").write_text(json.dumps(document, indent=1))
+    after = pipeline.run(spark, Settings(root=str(tmp_path), contracts=str(tmp_path / "contracts")), end=2, process_id="ETL-2")
+    assert after.phases["phase_2_3"]["bronze_records"] == 20
+    from tripflow.sources.layers import read_layer
+
+    bronze = read_layer(spark, str(tmp_path / "bronze"))
+    assert bronze.filter("fare_amount IS NULL").count() == 0
+    found = read_layer(spark, str(tmp_path / "audit" / "diagnostics")).filter("process_id = 'ETL-2'")
+    assert {r.file_name[-15:-8]: r.contract_version for r in found.collect()} == {"2023-12": None, "2024-01": "2024-01"}

@@ -1,5 +1,7 @@
 """Whole runs from files to tables, re-entry, idempotence and published tables."""
 
+import time
+
 import pyarrow as pa
 import pytest
 from conftest import rows
@@ -71,9 +73,8 @@ def test_valid_and_rejected_partition_silver(spark, lake):
 
 
 def test_published_columns(spark, lake):
-    for table, ddl in reports.PUBLISHED_TABLES.items():
-        names = {c.split()[0] for c in ddl.split(",")}
-        assert set(spark.table(f"lake_db.{table}").columns) == names
+    for table, schema in reports.PUBLISHED_TABLES.items():
+        assert set(spark.table(f"lake_db.{table}").columns) == set(schema.fieldNames())
     total = spark.table("lake_db.gold_daily_revenue").agg(F.sum("total_trips"), F.round(F.sum("total_revenue"), 2)).first()
     assert tuple(total) == (207, 207 * 22.0)
 
@@ -196,6 +197,31 @@ def test_a_broken_report_does_not_stop_the_rest(spark, lake):
     assert reports.verification_frame(spark, reports.verify(tables, ("v1_revenue_by_service",))).first().rows == 1
 
 
+def test_a_slow_report_does_not_delay_the_others(spark, lake, monkeypatch):
+    tables = reports.catalog_tables(spark, "lake_db")
+    ended, sleeping = {}, __import__("threading").Event()
+
+    def slow(df):
+        sleeping.wait(60)
+        return df.limit(1)
+
+    def told(name, build):
+        def run(df):
+            ended[name] = time.monotonic()
+            if len(ended) == 7:
+                sleeping.set()  # the slow report ends only when all others have begun
+            return build(df)
+
+        return run
+
+    for name in reports.VERIFICATION:
+        table, build = reports.REPORTS[name]
+        monkeypatch.setitem(reports.REPORTS, name, (table, slow if name == "v1_revenue_by_service" else told(name, build)))
+    checks = reports.verify(tables)
+    assert [c.name for c in checks] == list(reports.VERIFICATION) and {c.status for c in checks} == {"OK"} and sleeping.is_set()
+    assert all(c.seconds > 0 for c in checks)
+
+
 def test_ad_hoc_sql_and_approximate_counts(spark, lake):
     assert reports.query(spark, "SELECT COUNT(*) AS n FROM lake_db.gold_trips_clean").first().n == 207
     approx = reports.approximate_unique_trips(spark.table("lake_db.gold_trips_clean")).agg(F.sum("unique_trips")).first()[0]

@@ -6,8 +6,6 @@ exactly. Both mirror the semantics documented for the engine.
 
 from __future__ import annotations
 
-from tripflow.contracts import feed_contract
-
 RUN = "ETL-20240101-000000-0000ABCD"
 AT = "TIMESTAMP '2024-01-01 00:00:00'"
 
@@ -300,14 +298,71 @@ _LATE_GREEN = "(service_type = 'green' AND y = '2025')"
 _LATE_YELLOW = "(service_type = 'yellow' AND y = '2024')"
 
 
-_CONTRACT = "(VALUES " + ", ".join(
-    f"('{r['service_type']}', '{r['name']}', '{r['type']}', "
-    + (f"'{r['canonical']}'" if r["canonical"] else "NULL")
-    + f", {str(r['critical']).lower()})"
-    for service in ("yellow", "green", "fhvhv")
-    for r in feed_contract(service)
-) + ") AS v(service_type, name, type, canonical, critical)"
-_CONTRACT = f"(SELECT * FROM {_CONTRACT})"
+# The contracts of the feeds, written out here so that they do not come from the engine. Fixed values.
+_CONTRACT = """(SELECT * FROM (VALUES
+  ('yellow', 'VendorID', 'long', 'vendor_id', false),
+  ('yellow', 'tpep_pickup_datetime', 'timestamp', 'pickup_datetime', true),
+  ('yellow', 'tpep_dropoff_datetime', 'timestamp', 'dropoff_datetime', true),
+  ('yellow', 'passenger_count', 'double', 'passenger_count', false),
+  ('yellow', 'trip_distance', 'double', 'trip_distance', true),
+  ('yellow', 'RatecodeID', 'double', 'rate_code_id', false),
+  ('yellow', 'store_and_fwd_flag', 'string', 'store_and_fwd_flag', false),
+  ('yellow', 'PULocationID', 'long', 'pickup_location_id', true),
+  ('yellow', 'DOLocationID', 'long', 'dropoff_location_id', true),
+  ('yellow', 'payment_type', 'long', 'payment_type', false),
+  ('yellow', 'fare_amount', 'double', 'fare_amount', true),
+  ('yellow', 'extra', 'double', 'extra_amount', false),
+  ('yellow', 'mta_tax', 'double', 'mta_tax', false),
+  ('yellow', 'tip_amount', 'double', 'tip_amount', false),
+  ('yellow', 'tolls_amount', 'double', 'tolls_amount', false),
+  ('yellow', 'improvement_surcharge', 'double', 'improvement_surcharge', false),
+  ('yellow', 'total_amount', 'double', 'total_amount', true),
+  ('yellow', 'congestion_surcharge', 'double', 'congestion_surcharge', false),
+  ('yellow', 'Airport_fee', 'double', 'airport_fee', false),
+  ('green', 'VendorID', 'long', 'vendor_id', false),
+  ('green', 'lpep_pickup_datetime', 'timestamp', 'pickup_datetime', true),
+  ('green', 'lpep_dropoff_datetime', 'timestamp', 'dropoff_datetime', true),
+  ('green', 'store_and_fwd_flag', 'string', 'store_and_fwd_flag', false),
+  ('green', 'RatecodeID', 'double', 'rate_code_id', false),
+  ('green', 'PULocationID', 'long', 'pickup_location_id', true),
+  ('green', 'DOLocationID', 'long', 'dropoff_location_id', true),
+  ('green', 'passenger_count', 'double', 'passenger_count', false),
+  ('green', 'trip_distance', 'double', 'trip_distance', true),
+  ('green', 'fare_amount', 'double', 'fare_amount', true),
+  ('green', 'extra', 'double', 'extra_amount', false),
+  ('green', 'mta_tax', 'double', 'mta_tax', false),
+  ('green', 'tip_amount', 'double', 'tip_amount', false),
+  ('green', 'tolls_amount', 'double', 'tolls_amount', false),
+  ('green', 'ehail_fee', 'double', 'ehail_fee', false),
+  ('green', 'improvement_surcharge', 'double', 'improvement_surcharge', false),
+  ('green', 'total_amount', 'double', 'total_amount', true),
+  ('green', 'payment_type', 'double', 'payment_type', false),
+  ('green', 'trip_type', 'double', 'trip_type', false),
+  ('green', 'congestion_surcharge', 'double', 'congestion_surcharge', false),
+  ('fhvhv', 'hvfhs_license_num', 'string', 'vendor_id', true),
+  ('fhvhv', 'dispatching_base_num', 'string', NULL, false),
+  ('fhvhv', 'originating_base_num', 'string', NULL, false),
+  ('fhvhv', 'request_datetime', 'timestamp', NULL, false),
+  ('fhvhv', 'on_scene_datetime', 'timestamp', NULL, false),
+  ('fhvhv', 'pickup_datetime', 'timestamp', 'pickup_datetime', true),
+  ('fhvhv', 'dropoff_datetime', 'timestamp', 'dropoff_datetime', true),
+  ('fhvhv', 'PULocationID', 'long', 'pickup_location_id', true),
+  ('fhvhv', 'DOLocationID', 'long', 'dropoff_location_id', true),
+  ('fhvhv', 'trip_miles', 'double', 'trip_distance', true),
+  ('fhvhv', 'trip_time', 'long', NULL, false),
+  ('fhvhv', 'base_passenger_fare', 'double', 'fare_amount', true),
+  ('fhvhv', 'tolls', 'double', 'tolls_amount', false),
+  ('fhvhv', 'bcf', 'double', NULL, false),
+  ('fhvhv', 'sales_tax', 'double', 'mta_tax', false),
+  ('fhvhv', 'congestion_surcharge', 'double', 'congestion_surcharge', false),
+  ('fhvhv', 'airport_fee', 'double', 'airport_fee', false),
+  ('fhvhv', 'tips', 'double', 'tip_amount', false),
+  ('fhvhv', 'driver_pay', 'double', NULL, false),
+  ('fhvhv', 'shared_request_flag', 'string', NULL, false),
+  ('fhvhv', 'shared_match_flag', 'string', NULL, false),
+  ('fhvhv', 'wav_request_flag', 'string', NULL, false),
+  ('fhvhv', 'wav_match_flag', 'string', NULL, false)
+) AS v(service_type, name, type, canonical, critical))"""
 
 
 def _q(body: str, source: str = "trips") -> str:
@@ -368,6 +423,14 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN {_LATE_GREEN} THEN 'total_amount' ELSE '' END AS missing_critical,
               {_LATE_GREEN} OR {_LATE_YELLOW} AS has_issues, NOT ({_LATE_GREEN}) AS is_recoverable
             FROM {_DELIVERIES}"""),
+        "versioned_diagnosis": _q(f"""
+            SELECT service_type, y AS partition_year, m AS partition_month,
+              CASE WHEN service_type = 'yellow' AND y || '-' || m >= '2024-01' THEN '2024-01' END AS contract_version,
+              CAST(CASE service_type WHEN 'fhvhv' THEN 23 WHEN 'yellow' THEN 19 ELSE 20 END AS INTEGER) AS expected_columns,
+              CASE WHEN {_LATE_GREEN} THEN 'total_amount' WHEN service_type = 'yellow' AND y > '2024' THEN 'cbd_fee' ELSE '' END AS missing_columns,
+              CASE WHEN service_type = 'yellow' AND y > '2024' THEN 'Airport_fee' ELSE '' END AS extra_columns,
+              {_LATE_GREEN} OR (service_type = 'yellow' AND y > '2024') AS has_issues, NOT ({_LATE_GREEN}) AS is_recoverable
+            FROM {_DELIVERIES}"""),
         "contract_fields": _q(f"""
             SELECT c.service_type, c.name, c.type, c.canonical, c.critical, coalesce(n, 0) - coalesce(lost, 0) AS records
             FROM {_CONTRACT} c

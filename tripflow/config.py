@@ -49,6 +49,7 @@ class Settings:
     deep_validate: bool = False
     cluster_bronze: bool = False
     incremental: bool = False
+    contracts: str | None = None  # contract documents that go before the built-in contracts
     max_records_per_file: int = 2_000_000
 
     @property
@@ -89,7 +90,7 @@ def settings_from_dict(raw: dict) -> Settings:
         ExpectedFile("bad_parquet", name)
         for name in raw.get("bad_parquet_sources", {}).get("files", [])
     ]
-    top = {k: raw[k] for k in ("raw_dir", "database", "deep_validate", "cluster_bronze", "incremental") if k in raw}
+    top = {k: raw[k] for k in ("raw_dir", "database", "deep_validate", "cluster_bronze", "incremental", "contracts") if k in raw}
     return Settings(
         root=raw["root"],
         thresholds=Thresholds(**chosen),

@@ -27,14 +27,19 @@ def _find(df: DataFrame, *names: str) -> str | None:
     return next((by_lower[n.lower()] for n in names if n and n.lower() in by_lower), None)
 
 
-def source_column(df: DataFrame, service: str, canonical: str) -> str | None:
-    """Column of `df` that feeds `canonical`: the mapped name, else one already so named."""
-    return _find(df, C.source_names(service).get(canonical), canonical)
+Names = dict[str, tuple[str, ...]]
 
 
-def derived_total(df: DataFrame, service: str) -> Column:
+def source_column(df: DataFrame, service: str, canonical: str, names: Names | None = None) -> str | None:
+    """Column of `df` that feeds `canonical`: the first mapped name it has (of `names`, else of the built-in contract),
+    else one already so named."""
+    mapped = (C.source_names(service).get(canonical),) if names is None else names.get(canonical, ())
+    return _find(df, *mapped, canonical)
+
+
+def derived_total(df: DataFrame, service: str, names: Names | None = None) -> Column:
     """Sum of the fare components, NULL as zero; a component the file lacks is left out."""
-    found = [source_column(df, service, c) for c in C.DERIVED_TOTAL_COMPONENTS]
+    found = [source_column(df, service, c, names) for c in C.DERIVED_TOTAL_COMPONENTS]
     parts = [F.coalesce(_safe(df, c, T.DoubleType()), F.lit(0.0)) for c in found if c]
     return reduce(Column.__add__, parts)
 
@@ -44,11 +49,13 @@ def conform(
     service: str,
     source_file: Column | None = None,
     ingested_at: Column | None = None,
+    names: Names | None = None,
 ) -> DataFrame:
     """Project one feed to the 27 canonical columns (`trip_id` comes with the enrichment).
 
     Rename, safe cast, NULL fill, derived total and metadata are a single `select`, so the scan
-    reads only mapped columns. `source_file` defaults to the name of the file a row was read from.
+    reads only mapped columns. `source_file` defaults to the name of the file a row was read from, `names` (canonical
+    column -> source columns) to the built-in contract.
     """
     if source_file is None:
         source_file = F.col("_metadata.file_name")
@@ -56,9 +63,9 @@ def conform(
     for field in C.CANONICAL_SCHEMA:
         if field.name in _MADE_HERE:
             continue
-        source = source_column(df, service, field.name)
+        source = source_column(df, service, field.name, names)
         if field.name == "total_amount" and service == "fhvhv":
-            value = derived_total(df, service)
+            value = derived_total(df, service, names)
         elif source:
             value = _safe(df, source, field.dataType)
         else:

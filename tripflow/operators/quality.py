@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,46 +9,28 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..config import Thresholds
+from ..contracts import Rule
 from ..functions.amounts import percentage
 
 
-@dataclass(frozen=True)
-class Rule:
-    """One rule as data; `predicate` is Spark SQL text that is true for an offending row."""
-
-    rule_id: str
-    name: str
-    column: str
-    stage: str
-    category: str
-    severity: str
-    predicate: str
-    technical_reason: str = ""
-    business_reason: str = ""
-
-    def broken(self) -> Column:
-        """True or NULL or False, as the predicate says."""
-        return F.expr(f"({self.predicate})")
-
-
-def _parse(text: str, limits: Thresholds) -> tuple[Rule, ...]:
-    lines = text.strip().format(**limits.as_text()).splitlines()
-    return tuple(Rule(*[part.strip() for part in line.split(" | ")]) for line in lines)
+def _with_limits(rules: tuple[Rule, ...], limits: Thresholds) -> tuple[Rule, ...]:
+    texts = limits.as_text()
+    return tuple(r.with_limits(texts) for r in rules)
 
 
 def rejection_rules(limits: Thresholds = Thresholds(), opt_in: tuple[str, ...] = ()) -> tuple[Rule, ...]:
     """The rules that reject a trip, plus any opt-in checks named."""
     extra = tuple(r for r in opt_in_rules(limits) if r.rule_id in opt_in)
-    return _parse(C.REJECTION_RULES_TEXT, limits) + extra
+    return _with_limits(C.REJECTION_RULES, limits) + extra
 
 
 def marking_rules(limits: Thresholds = Thresholds()) -> tuple[Rule, ...]:
     """The rules that only make a trip suspicious."""
-    return _parse(C.MARKING_RULES_TEXT, limits)
+    return _with_limits(C.MARKING_RULES, limits)
 
 
 def opt_in_rules(limits: Thresholds = Thresholds()) -> tuple[Rule, ...]:
-    return _parse(C.OPT_IN_RULES_TEXT, limits)
+    return _with_limits(C.OPT_IN_RULES, limits)
 
 
 def rule_catalogue(spark: SparkSession, limits: Thresholds = Thresholds()) -> DataFrame:

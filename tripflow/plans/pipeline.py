@@ -112,11 +112,12 @@ def to_bronze(spark: SparkSession, settings: Settings, inventory: DataFrame, pro
         feed_files = feed_files.join(damaged.select("file_path"), "file_path", "left_anti")
     if settings.incremental:
         feed_files = unseen(spark, settings, feed_files, process_id)
-    diagnosis = diagnose.diagnose(feed_files, diagnose.contract_fields(spark))
+    contracts = diagnose.contract_registry(spark, settings.contracts)
+    diagnosis = diagnose.diagnose(feed_files, contracts)
     stored = commit_run(diagnosis, settings.layer("audit", "diagnostics"), process_id, cluster=True)
     usable = feed_files.join(stored.filter("is_recoverable").select("file_path"), "file_path", "left_semi")
     groups = feeds.feed_groups(spark, usable, inventory)
-    bronze, failed = feeds.conform_groups(groups)
+    bronze, failed = feeds.conform_groups(groups, names=diagnose.source_names(contracts))
     set_aside = files.schema_quarantine(stored)
     reasons = spark.createDataFrame(failed, "service_type STRING, schema_hash STRING, homologation_error STRING")
     if failed:

@@ -183,6 +183,17 @@ def schema_diagnosis(spark, sf_dir):
     )
 
 
+def versioned_diagnosis(spark, sf_dir):
+    """The diagnosis with a second version of one contract, from a document, valid from a delivery month on."""
+    late = [f for f in C.feed_contract("yellow") if f["name"] != "Airport_fee"]
+    fields = [(f["name"], "integer" if f["name"] == "VendorID" else f["type"], f["critical"]) for f in late] + [("cbd_fee", "double", False)]
+    mapping = {f["name"]: f["canonical"] for f in late if f["canonical"]}
+    folder = scratch(spark, "contracts")
+    spark.createDataFrame([("yellow", "2024-01", None, fields, mapping)], diagnose.DOCUMENT_DDL).coalesce(1).write.json(folder)
+    found = diagnose.diagnose(_raw_inventory(spark, sf_dir).filter("ingested"), diagnose.contract_registry(spark, folder))
+    return _by_delivery(found, "contract_version", "expected_columns", _joined("missing_columns"), _joined("extra_columns"), "has_issues", "is_recoverable")
+
+
 def contract_fields(spark, sf_dir):
     """Each contract column with the files and records that delivered it."""
     contracts = diagnose.contract_fields(spark)
@@ -518,7 +529,7 @@ def pruned_scan(spark, sf_dir):
 
 def verification_report(spark, sf_dir):
     _, run = _finished_run(spark, sf_dir)
-    return reports.verification_frame(spark, run.checks)
+    return reports.verification_frame(spark, run.checks).drop("seconds")
 
 
 def pipeline_revenue(spark, sf_dir):
@@ -597,6 +608,7 @@ def queries() -> dict[str, Query]:
         "contract_fields": contract_fields,
         "mapping_matrix": mapping_matrix,
         "schema_diagnosis": schema_diagnosis,
+        "versioned_diagnosis": versioned_diagnosis,
         "schema_quarantine": schema_quarantine,
         "file_quarantine": file_quarantine,
         "v4_inventory_status": lambda s, d: _inventory_report(s, d, "v4_inventory_status").drop("files", "size_mb"),

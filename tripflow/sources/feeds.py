@@ -102,12 +102,15 @@ def _named(spark: SparkSession, files: DataFrame, folders: set[str]) -> dict[tup
     return names
 
 
-def conform_groups(groups: list[FeedGroup], ingested_at: Column | None = None) -> tuple[DataFrame | None, list[tuple[str, str, str]]]:
-    """(bronze rows of all groups, (feed, schema hash, reason) of the versions that cannot be conformed)."""
+def conform_groups(
+    groups: list[FeedGroup], ingested_at: Column | None = None, names: dict[str, dict[str, tuple[str, ...]]] | None = None
+) -> tuple[DataFrame | None, list[tuple[str, str, str]]]:
+    """(bronze rows of all groups, (feed, schema hash, reason) of the versions that cannot be conformed). names: see
+    diagnose.source_names."""
     conformed, failed = [], []
     for group in groups:
         try:
-            conformed.append(conform(group.frame, group.service_type, ingested_at=ingested_at))
+            conformed.append(conform(group.frame, group.service_type, ingested_at=ingested_at, names=(names or {}).get(group.service_type)))
         except AnalysisException as error:
             failed.append((group.service_type, group.schema_hash, str(error)))
     return (union_feeds(conformed) if conformed else None), sorted(set(failed))
