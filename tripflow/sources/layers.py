@@ -22,7 +22,7 @@ LOG_DDL = "number BIGINT, whole BOOLEAN, folders MAP<STRING, STRING>"
 WHOLE = ""
 NOTHING = ""  # the folder of a key that has no rows any more
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-_ESCAPED = set("\"#%'*/:=?\\{}[]^\x7f") | {chr(i) for i in range(1, 32)}
+_ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
 
 
 def partition_folder(**values) -> str:
