@@ -1,9 +1,11 @@
 """Operators against brute force on small tables, with odd rows: nulls, empty and long texts, repeats, clashing names."""
 
 import hashlib
+import itertools
 import re
 import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -304,6 +306,53 @@ def test_shortest_path_is_the_least_of_all_paths():
         assert "".join(pieces[i][0] for i in path) == text and sum(-pieces[i][1] for i in path) == least(text)
 
 
+@pytest.mark.parametrize("prefix", [False, True])
+@pytest.mark.parametrize("squeeze", [False, True])
+def test_normalisers_equal_the_installed_library(tmp_path, prefix, squeeze):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+    from tripflow.llm.pieces import default_path
+
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(Path(default_path()).read_bytes())
+    model.normalizer_spec.add_dummy_prefix, model.normalizer_spec.remove_extra_whitespaces = prefix, squeeze
+    path = tmp_path / "own.model"
+    path.write_bytes(model.SerializeToString())
+    library, encoder = sentencepiece.SentencePieceProcessor(model_file=str(path)), transducer.Encoder(transducer.compiled(str(path)))
+    for t in ("", "   ", " a  b ", "word", "  in front", "behind  ", "a \n b", "\t\n  c", "日本 語  😀 "):
+        ids = library.encode(t)
+        assert encoder.encode(t) == ids and encoder.decode(ids) == library.decode(ids)
+
+
+def test_merging_is_the_path_of_finite_weight():
+    """All segmentations of short words, held against the acceptor of pairs: one is accepted, and it is the shortest path."""
+    words = ("ab", "abc", "bc", "bca", "ca", "cab", "aa", "abca")
+    pieces = tuple((p, -float(i), 1) for i, p in enumerate((*words, "a", "b", "c"))) + tuple((f"<0x{b:02X}>", 0.0, 6) for b in range(256))
+    t = transducer.Transducer(pieces, merging=True)
+    number = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == 1}
+
+    def all_paths(text):
+        return [[]] if not text else [[number[text[:k]], *rest] for k in range(1, len(text) + 1) if text[:k] in number for rest in all_paths(text[k:])]
+
+    for text in map("".join, itertools.product("abc", repeat=6)):
+        accepted = [p for p in all_paths(text) if all(t.stays(x, y) for x, y in zip([-1, *p], p))]
+        assert accepted == [t.shortest_path(text)] and [pieces[i][0] for i in accepted[0]] == t.merged(text)
+
+
+def test_neighbours_over_many_blocks(spark):
+    rng = np.random.default_rng(8)
+    points = rng.standard_normal((1500, 16))
+    points[500:1000] = points[500] + 0.01 * rng.standard_normal((500, 16))  # a third of the rows lies close together
+    points[1000:1100] = points[0]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in rabitq.search(table, block_bytes=4096).collect()}  # 47 blocks
+    assert len(got) == 150
+    for q in range(0, 1500, 100):
+        apart = np.sqrt(((points - points[q]) ** 2).sum(axis=1))
+        best = [i for i in np.lexsort((np.arange(1500), apart)) if i != q][:10]
+        assert [got[q, k + 1] for k in range(10)] == [(i, apart[i]) for i in best]
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(3)

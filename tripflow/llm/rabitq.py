@@ -25,10 +25,11 @@ EVERY = 100
 SEED = 11
 #: Width of the error bound in its standard deviations: a bound fails about once in 10^7 comparisons at 5.
 EPSILON = 5.0
-#: Rows of a block of the index and of a block of queries; they bound what meets in one step of a task.
-INDEX_BLOCK, QUERY_BLOCK = 4096, 1024
+#: Bytes of the vectors of a block, of the index or of queries; they bound what meets in one step of a task. An index row is
+#: copied once per block of queries: at 64 components once per 3.3 million rows.
+BLOCK_BYTES = 16 * 2**20
 #: Queries compared at once within a meeting.
-STEP = 256
+STEP = 128
 
 
 def encode(v: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,14 +67,15 @@ def bounds(bits: np.ndarray, norm: np.ndarray, product: np.ndarray, q: np.ndarra
     return q_norm[:, None] ** 2 + norm**2 - scale * cosine, width
 
 
-def _block(rows: DataFrame, name: str, per_block: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """rows with dim and block, and (dim, number of blocks)."""
-    sizes = rows.groupBy("dim").agg(F.ceil(F.count("*") / per_block).cast("int").alias("n_blocks"))
-    dealt = rows.join(F.broadcast(sizes), "dim")  # one row per length of vector
+def _block(rows: DataFrame, name: str, block_bytes: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """rows with dim and block, and (dim, number of blocks). The latter are stored, so that joins go by their measured size."""
+    sizes = rows.groupBy("dim").agg(F.ceil(F.count("*") * F.col("dim") * 8 / block_bytes).cast("int").alias("n_blocks"))
+    sizes = stored(sizes)
+    dealt = rows.join(sizes, "dim")  # one row per length of vector
     return dealt.withColumn(name, F.pmod(F.xxhash64("vec_id", F.lit(seed)), "n_blocks").cast("int")).drop("n_blocks"), sizes
 
 
-def search(vectors: DataFrame, k: int = K, every: int = EVERY, seed: int = SEED, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, k: int = K, every: int = EVERY, seed: int = SEED, vec_id: str = "vec_id", embedding: str = "embedding", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for each query, nearest first, ties to the smaller vec_id.
 
     score is the Euclidean distance of the original vectors in double precision. Candidates are all rows but those with
@@ -86,10 +88,10 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, seed: int = SEED,
     components = rows.select("dim", F.posexplode("v").alias("i", "x"))
     largest = components.groupBy("dim").agg(F.max(F.abs("x")).alias("largest"))
     parts = components.join(largest, "dim").groupBy("dim", "i").agg(F.avg(F.col("x") / F.col("largest")).alias("m"), F.first("largest").alias("largest"))
-    centres = parts.groupBy("dim").agg(
+    centres = stored(parts.groupBy("dim").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda x: x["m"]).alias("centre"), F.first("largest").alias("largest")
-    )
-    index, sizes = _block(rows, "block", INDEX_BLOCK, seed)
+    ))
+    index, sizes = _block(rows, "block", block_bytes, seed)
     coded = "vec_id long, v array<double>, dim int, block int, bits binary, norm double, product double"
 
     def code(batches):
@@ -104,12 +106,12 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, seed: int = SEED,
                 made = [pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(norm), pa.array(product)]
                 yield pa.RecordBatch.from_arrays(columns + made, names=["vec_id", "v", "dim", "block", "bits", "norm", "product"])
 
-    index = index.join(F.broadcast(centres), "dim").select("vec_id", "v", "dim", "block", "centre", "largest").mapInArrow(code, coded)
-    asked, q_sizes = _block(rows.where(F.col("vec_id") % every == 0), "q_block", QUERY_BLOCK, seed + 1)
+    index = index.join(centres, "dim").select("vec_id", "v", "dim", "block", "centre", "largest").mapInArrow(code, coded)
+    asked, q_sizes = _block(rows.where(F.col("vec_id") % every == 0), "q_block", block_bytes, seed + 1)
     # every block of the index meets every block of queries once
     other = lambda name: F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias(name)
-    asked = asked.join(F.broadcast(sizes), "dim").join(F.broadcast(centres), "dim").select("vec_id", "v", "dim", "centre", "largest", "q_block", other("block"))
-    index = index.join(F.broadcast(q_sizes), "dim").select(*index.columns, other("q_block"))
+    asked = asked.join(sizes, "dim").join(centres, "dim").select("vec_id", "v", "dim", "centre", "largest", "q_block", other("block"))
+    index = index.join(q_sizes, "dim").select(*index.columns, other("q_block"))
 
     def meet(key, of_index: pa.Table, of_queries: pa.Table) -> pa.Table:
         out = []
