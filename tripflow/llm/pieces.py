@@ -21,19 +21,31 @@ def default_path() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
-@lru_cache(maxsize=4)
-def read_model(path: str) -> tuple[tuple[tuple[str, float, int], ...], bool]:
-    """(piece, score, kind) by id, and whether the model merges pairs (BPE). Read on the driver only; tasks get what
-    they need with the job."""
+def _model(path: str):
     from sentencepiece import sentencepiece_model_pb2
 
     model = sentencepiece_model_pb2.ModelProto()
     model.ParseFromString(Path(path).read_bytes())
-    if model.normalizer_spec.precompiled_charsmap or model.normalizer_spec.remove_extra_whitespaces or not model.normalizer_spec.add_dummy_prefix:
-        raise ValueError("only models whose normaliser marks spaces, and nothing else, are compiled")
+    return model
+
+
+@lru_cache(maxsize=4)
+def read_model(path: str) -> tuple[tuple[tuple[str, float, int], ...], bool]:
+    """(piece, score, kind) by id, and whether the model merges pairs (BPE). Read on the driver only; tasks get what
+    they need with the job."""
+    model = _model(path)
     return tuple((p.piece, p.score, p.type) for p in model.pieces), model.trainer_spec.model_type == 2
 
 
+@lru_cache(maxsize=4)
+def read_normaliser(path: str) -> tuple[bool, bool]:
+    """(whether a space goes in front, whether runs of spaces become one)."""
+    spec = _model(path).normalizer_spec
+    if spec.precompiled_charsmap or not spec.escape_whitespaces:
+        raise ValueError("a model that maps characters, or does not mark spaces, is not compiled")
+    return spec.add_dummy_prefix, spec.remove_extra_whitespaces
+
+
 @dataclass(frozen=True)
 class Lattice:
     """Arcs of many words, sorted by word, then end. Node i of a word lies before its character i."""

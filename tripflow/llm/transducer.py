@@ -1,13 +1,14 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Compiled from a model file: the normaliser (a space in front, spaces to marks), the pieces (arcs that read a piece and
+Compiled from a model file: the normaliser (a machine over runs of spaces and runs of other characters, see Normaliser), the pieces (arcs that read a piece and
 write its id, weighted with the negated score) and byte fallback (a character that is no piece is read whole and
 written as the ids of its bytes, dearer than any piece). Composed with an input they form an acyclic graph over its
 characters, whose shortest path in the tropical semiring (min, +) is the encoding.
 
 That path is the encoding of a unigram model. A model of merges is composed with one more acceptor, over pairs of
 neighbouring pieces: 0 for a pair that merging its own text leaves apart, infinite otherwise. A sequence of pieces
-is the outcome of merging exactly if all its neighbouring pairs are, so one path of finite weight remains.
+is the outcome of merging exactly if all its neighbouring pairs are, so one path of finite weight remains. Both kinds
+of model go through the same shortest path, over states of a place and the last piece.
 
 No piece holds a mark behind another character, or a line end, so every path passes through those places and the graph
 is solved between them; equal stretches have equal shortest paths, and are solved once.
@@ -19,20 +20,46 @@ import re
 import uuid
 from dataclasses import dataclass
 from functools import cached_property
+from heapq import heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import with_columns_by_arrow, worker_memory
-from .pieces import BYTE, MARK, NORMAL, default_path, read_model
+from .pieces import BYTE, MARK, NORMAL, default_path, read_model, read_normaliser
 
 #: Added to the highest piece weight for a character outside the vocabulary, as in the published algorithm.
 UNKNOWN_PENALTY = 10.0
 #: Stretches, and pairs of pieces, that a worker remembers; bounds memory.
 REMEMBERED = 300_000
+RUNS = re.compile(" +|[^ ]+")
 STRETCH = re.compile(f"{MARK}*[^{MARK}\\n]+|{MARK}+|\\n")
 
 
+@dataclass(frozen=True)
+class Normaliser:
+    """The transducer in front of the pieces, with all weights 0. It reads runs of spaces and runs of other characters.
+
+    States: FRONT (nothing written yet) and INSIDE. prefix: the first output is preceded by a mark. squeeze: a run of spaces
+    writes one mark behind a word if another word follows, and nothing at the ends; otherwise it writes a mark a space.
+    """
+
+    prefix: bool = True
+    squeeze: bool = False
+
+    def __call__(self, text: str) -> str:
+        if not self.squeeze:  # every space has one output whatever the state
+            return (MARK if self.prefix and text else "") + text.replace(" ", MARK)
+        inside, waiting, out = False, False, []
+        for run in RUNS.findall(text):
+            if run[0] == " ":
+                waiting = inside
+            else:
+                out += [MARK if waiting or (self.prefix and not inside) else "", run]
+                inside, waiting = True, False
+        return "".join(out)
+
+
 @dataclass(frozen=True)
 class Transducer:
     """Compiled pieces: arcs are a trie; a node is (next nodes by character, piece or -1, weight).
@@ -42,6 +69,7 @@ class Transducer:
 
     pieces: tuple[tuple[str, float, int], ...]
     merging: bool = False
+    normaliser: Normaliser = Normaliser()
 
     @cached_property
     def arcs(self) -> dict[str, tuple]:
@@ -99,18 +127,18 @@ class Transducer:
         texts = [self.pieces[i][0] for i in (left, right) if i >= 0]
         return self.merged("".join(texts)) == texts
 
-    def _arcs_from(self, stretch: str, i: int) -> list[tuple[int, int, float]]:
-        """(end, piece, weight) of the arcs at a place, shorter ones first; piece -1 for a character that is no piece."""
-        found: list[tuple[int, int, float]] = []
+    def _arcs_from(self, stretch: str, i: int) -> list[tuple[int, int, int, float]]:
+        """(start, end, piece, weight) of the arcs at a place, shorter ones first; piece -1 for a character that is no piece."""
+        found: list[tuple[int, int, int, float]] = []
         node = self.arcs.get(stretch[i])
         if node is None or node[1] < 0:
-            found.append((i + 1, -1, self.unknown_weight))
+            found.append((i, i + 1, -1, self.unknown_weight))
         n, j = len(stretch), i
         while node is not None:
             j += 1
             nodes, piece, dear = node
             if piece >= 0:
-                found.append((j, piece, dear))
+                found.append((i, j, piece, dear))
             if j == n or not nodes:
                 break
             node = nodes.get(stretch[j])
@@ -118,9 +146,8 @@ class Transducer:
 
     def shortest_path(self, stretch: str) -> list[int]:
         """Ids on the path of least weight."""
-        arcs = self._only_path(stretch) if self.merging else self._least_path(stretch)
         ids: list[int] = []
-        for start, end, piece in arcs:
+        for start, end, piece in self._least_path(stretch):
             if piece >= 0:
                 ids.append(piece)
             else:
@@ -128,52 +155,45 @@ class Transducer:
         return ids
 
     def _least_path(self, stretch: str) -> list[tuple[int, int, int]]:
-        """Tropical shortest path over places. Of paths that weigh the same into a place, the one with the longest last arc."""
-        n = len(stretch)
-        weight = [0.0] + [float("inf")] * n
-        back = [(0, 0, 0)] * (n + 1)
-        for i in range(n):
-            for j, piece, dear in self._arcs_from(stretch, i):
-                if weight[i] + dear < weight[j]:
-                    weight[j], back[j] = weight[i] + dear, (i, j, piece)
-        path = []
-        at = n
-        while at:
-            path.append(back[at])
-            at = back[at][0]
-        return path[::-1]
-
-    def _only_path(self, stretch: str) -> list[tuple[int, int, int]]:
-        """The path of finite weight. A text merges in one way, so a place is reached by one accepted path at most: the
-        composed graph is a tree, searched longest arcs first, and a place without a way on is not entered again."""
-        n, pairs = len(stretch), self._pairs
+        """Tropical shortest path over the composed graph, which is made as it is followed: (start, end, piece) of its arcs.
+
+        A place needs one state. Without the acceptor of pairs the last piece does not matter; arcs are relaxed in the order of
+        places, and of paths that weigh the same into a place the one with the longest last arc stays. With it, the text
+        before a place merges in one way, so one path of finite weight at most leads to it: arcs are relaxed latest and
+        longest first, a place that is reached is final, and so is the end.
+        """
+        n, pairs, merging, inf = len(stretch), self._pairs, self.merging, float("inf")
         if len(pairs) > REMEMBERED:
             pairs.clear()
-        dead: set[int] = set()
-        path: list[tuple[int, int, int]] = []
-        open_arcs: list[list[tuple[int, int, float]]] = []
-        i, last, arcs = 0, -1, self._arcs_from(stretch, 0)
-        while i < n:
-            while arcs:
-                j, piece, _ = arcs.pop()
-                if j in dead:
+        weight = [0.0] + [inf] * n
+        back = [(0, 0, -1)] * (n + 1)
+        waiting = self._arcs_from(stretch, 0)
+        while waiting and not (merging and weight[n] < inf):
+            i, j, piece, dear = arc = waiting.pop() if merging else heappop(waiting)
+            total, before = weight[i] + dear, weight[j]
+            if merging:
+                if before < inf:
                     continue
                 if piece >= 0:
-                    pair = (last + 1) << 32 | piece
+                    pair = (back[i][2] + 1) << 32 | piece
                     if (stays := pairs.get(pair)) is None:
-                        stays = pairs[pair] = self.stays(last, piece)
+                        stays = pairs[pair] = self.stays(back[i][2], piece)
                     if not stays:
                         continue
-                path.append((i, j, piece))
-                open_arcs.append(arcs)
-                i, last = j, piece
-                arcs = self._arcs_from(stretch, i) if i < n else []
-                break
-            else:
-                dead.add(i)
-                i, _, _ = path.pop()
-                last, arcs = path[-1][2] if path else -1, open_arcs.pop()
-        return path
+            elif total >= before:
+                continue
+            weight[j], back[j] = total, arc[:3]
+            if j < n and before == inf:
+                if merging:
+                    waiting += self._arcs_from(stretch, j)
+                else:
+                    for more in self._arcs_from(stretch, j):
+                        heappush(waiting, more)
+        path, at = [], n
+        while at:
+            path.append(back[at])
+            at = back[at][0]
+        return path[::-1]
 
 
 class Encoder:
@@ -195,30 +215,37 @@ class Encoder:
     def encode(self, text: str) -> list[int]:
         """Ids of a text; none for the empty text. A mark that the text itself holds goes through byte fallback, so that
         decoding gives it back."""
-        if not text:
-            return []
+        if MARK not in text:
+            return self._ids(self.transducer.normaliser(text))
+        # own marks stand aside while the text is normalised, as a character that no text holds
+        own = next(c for c in map(chr, range(0xE000, 0xF8FF)) if c not in text)
         ids: list[int] = []
-        for k, part in enumerate(text.split(MARK)):
+        for k, part in enumerate(self.transducer.normaliser(text.replace(MARK, own)).split(own)):
             if k:
                 ids += [self.transducer.byte_ids[b] for b in MARK.encode()]
-            if part or not k:
-                part = part.replace(" ", MARK) if k else MARK + part.replace(" ", MARK)
-                for stretch in STRETCH.findall(part):
-                    ids += self.known.get(stretch) or self.path(stretch)
+            ids += self._ids(part)
+        return ids
+
+    def _ids(self, normal: str) -> list[int]:
+        ids: list[int] = []
+        for stretch in STRETCH.findall(normal):
+            ids += self.known.get(stretch) or self.path(stretch)
         return ids
 
     def decode(self, ids: list[int]) -> str:
         out = self.transducer.outputs
-        return b"".join([out[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
+        text = b"".join([out[i] for i in ids]).decode("utf-8", "replace")
+        return text.removeprefix(" ") if self.transducer.normaliser.prefix else text
 
 
 def compiled(path: str | None = None) -> Transducer:
-    return Transducer(*read_model(path or default_path()))
+    pieces, merging = read_model(path or default_path())
+    return Transducer(pieces, merging, Normaliser(*read_normaliser(path or default_path())))
 
 
 def _work(transducer: Transducer, docs: DataFrame, make):
     """A function for with_columns_by_arrow: make(encoder, value) gives a row's new values."""
-    shared = docs.sparkSession.sparkContext.broadcast((transducer.pieces, transducer.merging))
+    shared = docs.sparkSession.sparkContext.broadcast((transducer.pieces, transducer.merging, transducer.normaliser))
     key = uuid.uuid4().hex
 
     def work(batches):
