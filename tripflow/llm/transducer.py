@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from functools import cached_property
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -31,7 +32,7 @@ from .pieces import BYTE, MARK, NORMAL, default_path, read_model, read_normalise
 #: Added to the highest piece weight for a character outside the vocabulary, as in the published algorithm.
 UNKNOWN_PENALTY = 10.0
 #: Stretches, and pairs of pieces, that a worker remembers; bounds memory.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 RUNS = re.compile(" +|[^ ]+")
 STRETCH = re.compile(f"{MARK}*[^{MARK}\\n]+|{MARK}+|\\n")
 
@@ -130,18 +131,16 @@ class Transducer:
     def _arcs_from(self, stretch: str, i: int) -> list[tuple[int, int, int, float]]:
         """(start, end, piece, weight) of the arcs at a place, shorter ones first; piece -1 for a character that is no piece."""
         found: list[tuple[int, int, int, float]] = []
-        node = self.arcs.get(stretch[i])
-        if node is None or node[1] < 0:
-            found.append((i, i + 1, -1, self.unknown_weight))
-        n, j = len(stretch), i
-        while node is not None:
-            j += 1
+        nodes = self.arcs
+        for j in range(i, len(stretch)):
+            node = nodes.get(stretch[j])
+            if node is None:
+                break
             nodes, piece, dear = node
             if piece >= 0:
-                found.append((i, j, piece, dear))
-            if j == n or not nodes:
-                break
-            node = nodes.get(stretch[j])
+                found.append((i, j + 1, piece, dear))
+        if not found or found[0][1] > i + 1:
+            found.insert(0, (i, i + 1, -1, self.unknown_weight))
         return found
 
     def shortest_path(self, stretch: str) -> list[int]:
@@ -168,27 +167,32 @@ class Transducer:
         weight = [0.0] + [inf] * n
         back = [(0, 0, -1)] * (n + 1)
         waiting = self._arcs_from(stretch, 0)
-        while waiting and not (merging and weight[n] < inf):
-            i, j, piece, dear = arc = waiting.pop() if merging else heappop(waiting)
-            total, before = weight[i] + dear, weight[j]
+        while waiting:
             if merging:
-                if before < inf:
+                i, j, piece, dear = waiting.pop()
+                if weight[j] < inf:
                     continue
                 if piece >= 0:
-                    pair = (back[i][2] + 1) << 32 | piece
-                    if (stays := pairs.get(pair)) is None:
-                        stays = pairs[pair] = self.stays(back[i][2], piece)
+                    last = back[i][2]
+                    stays = pairs.get(pair := (last + 1) << 32 | piece)
+                    if stays is None:
+                        stays = pairs[pair] = self.stays(last, piece)
                     if not stays:
                         continue
-            elif total >= before:
-                continue
-            weight[j], back[j] = total, arc[:3]
-            if j < n and before == inf:
+            else:
+                i, j, piece, dear = heappop(waiting)
+                if weight[i] + dear >= weight[j]:
+                    continue
+            first = weight[j] == inf
+            weight[j], back[j] = weight[i] + dear, (i, j, piece)
+            if j == n:
                 if merging:
-                    waiting += self._arcs_from(stretch, j)
-                else:
-                    for more in self._arcs_from(stretch, j):
-                        heappush(waiting, more)
+                    break
+            elif merging:
+                waiting += self._arcs_from(stretch, j)
+            elif first:
+                for arc in self._arcs_from(stretch, j):
+                    heappush(waiting, arc)
         path, at = [], n
         while at:
             path.append(back[at])
@@ -196,45 +200,46 @@ class Transducer:
         return path[::-1]
 
 
+def pack(ids: list[int]) -> bytes:
+    return np.array(ids, dtype=np.int32).tobytes()
+
+
 class Encoder:
-    """Encodes texts; remembers stretches, the latest of them at least."""
+    """Encodes texts; remembers stretches, the latest of them at least, with their ids as packed 32-bit numbers."""
 
     def __init__(self, transducer: Transducer):
         self.transducer = transducer
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.own_mark = pack([transducer.byte_ids[b] for b in MARK.encode()])
 
-    def path(self, stretch: str) -> list[int]:
+    def path(self, stretch: str) -> bytes:
         """Shortest path of a stretch that is not in `known`."""
         if len(self.known) >= REMEMBERED // 2:
             self.known, self.older = {}, self.known
-        found = self.older.get(stretch) or self.transducer.shortest_path(stretch)
+        found = self.older.get(stretch) or pack(self.transducer.shortest_path(stretch))
         self.known[stretch] = found
         return found
 
-    def encode(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
         """Ids of a text; none for the empty text. A mark that the text itself holds goes through byte fallback, so that
         decoding gives it back."""
         if MARK not in text:
             return self._ids(self.transducer.normaliser(text))
         # own marks stand aside while the text is normalised, as a character that no text holds
         own = next(c for c in map(chr, range(0xE000, 0xF8FF)) if c not in text)
-        ids: list[int] = []
-        for k, part in enumerate(self.transducer.normaliser(text.replace(MARK, own)).split(own)):
-            if k:
-                ids += [self.transducer.byte_ids[b] for b in MARK.encode()]
-            ids += self._ids(part)
-        return ids
+        return self.own_mark.join([self._ids(part) for part in self.transducer.normaliser(text.replace(MARK, own)).split(own)])
 
-    def _ids(self, normal: str) -> list[int]:
-        ids: list[int] = []
-        for stretch in STRETCH.findall(normal):
-            ids += self.known.get(stretch) or self.path(stretch)
-        return ids
+    def _ids(self, normal: str) -> bytes:
+        return b"".join([self.known.get(stretch) or self.path(stretch) for stretch in STRETCH.findall(normal)])
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text."""
+        return np.frombuffer(self.packed(text), dtype=np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         out = self.transducer.outputs
-        text = b"".join([out[i] for i in ids]).decode("utf-8", "replace")
+        text = b"".join(map(out.__getitem__, ids)).decode("utf-8", "replace")
         return text.removeprefix(" ") if self.transducer.normaliser.prefix else text
 
 
@@ -244,29 +249,39 @@ def compiled(path: str | None = None) -> Transducer:
 
 
 def _work(transducer: Transducer, docs: DataFrame, make):
-    """A function for with_columns_by_arrow: make(encoder, value) gives a row's new values."""
+    """A function for with_columns_by_arrow: make(encoder, column) gives the new columns."""
     shared = docs.sparkSession.sparkContext.broadcast((transducer.pieces, transducer.merging, transducer.normaliser))
     key = uuid.uuid4().hex
 
     def work(batches):
         encoder = worker_memory(("encoder", key), lambda: Encoder(Transducer(*shared.value)))
         for (column,) in batches:
-            yield [pa.array(x, kind) for x, kind in make(encoder, column)]
+            yield make(encoder, column)
 
     return work
 
 
+def _packed(encoder: Encoder, column) -> tuple[list[bytes | None], pa.Array]:
+    """Packed ids by row, and all of them as an Arrow column of lists."""
+    rows = [None if (t := x.as_py()) is None else encoder.packed(t) for x in column]
+    ends = np.cumsum([0, *[0 if x is None else len(x) // 4 for x in rows]])
+    starts = pa.array(ends.astype(np.int32), mask=np.array([*[x is None for x in rows], False]))
+    ids = pa.array(np.frombuffer(b"".join([x for x in rows if x is not None]), dtype=np.int32))
+    return rows, pa.ListArray.from_arrays(starts, ids)
+
+
 def _encoded(encoder: Encoder, column):
-    return [([None if (t := x.as_py()) is None else encoder.encode(t) for x in column], pa.list_(pa.int32()))]
+    return [_packed(encoder, column)[1]]
 
 
 def _decoded(encoder: Encoder, column):
-    return [([None if (ids := x.as_py()) is None else encoder.decode(ids) for x in column], pa.string())]
+    return [pa.array([None if (ids := x.as_py()) is None else encoder.decode(ids) for x in column], pa.string())]
 
 
 def _both(encoder: Encoder, column):
-    ((ids, kind),) = _encoded(encoder, column)
-    return [(ids, kind), ([None if x is None else encoder.decode(x) for x in ids], pa.string())]
+    rows, ids = _packed(encoder, column)
+    decoded = [None if x is None else encoder.decode(np.frombuffer(x, dtype=np.int32).tolist()) for x in rows]
+    return [ids, pa.array(decoded, pa.string())]
 
 
 def encode(docs: DataFrame, transducer: Transducer, text: str = "text") -> DataFrame:
