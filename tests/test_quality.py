@@ -116,6 +116,19 @@ def test_opt_in_rules_are_off_by_default(silver):
     assert sorted(rows(quality.rejected_records(frame, chosen, "P"), "rejection_rule_id")) == [("CFG-PASSENGERS",), ("CFG-PAYMENT",)]
 
 
+def test_declared_minima(silver):
+    minima = tuple(f"CFG-MIN-{name}" for name in ("DURATION", "FARE", "TOTAL", "DISTANCE"))
+    frame = silver({"fare_amount": 2.0, "trip_distance": 0.5}, {"fare_amount": None, "total_amount": 3.0})
+
+    def found(limits):
+        chosen = tuple(r for r in quality.rejection_rules(limits, minima) if r.rule_id in minima)
+        return sorted(rows(quality.rejected_records(frame, chosen, "P"), "rejection_rule_id", "original_value"))
+
+    assert found(Thresholds()) == []
+    # at the minimum a trip stays, and a value that is missing breaks nothing
+    assert found(Thresholds(min_fare=2.0, min_distance=1.0, min_total=10.0)) == [("CFG-MIN-DISTANCE", "0.5"), ("CFG-MIN-TOTAL", "3.0")]
+
+
 def test_catalogue_lists_every_rule(spark):
     found = {r.rule_id: r.action for r in quality.rule_catalogue(spark).collect()}
     assert {k for k, v in found.items() if v == "REJECT"} == {r.rule_id for r in RULES}

@@ -715,6 +715,12 @@ def oracle_sql() -> dict[str, str]:
                    'passenger_count < 0 OR passenger_count > 9' AS technical_reason
             FROM silver WHERE passenger_count < 0 OR passenger_count > 9"""),
     }
+    minima = {"duration": "trip_duration_minutes", "fare": "fare_amount", "total": "total_amount", "distance": "trip_distance"}
+    for name, column in minima.items():
+        found[f"minimum_{name}_check"] = _q(f"""
+            SELECT trip_id, service_type, '{name}_below_minimum' AS rejection_rule,
+                   CAST({column} AS VARCHAR) AS original_value, '{column} < 0.0' AS technical_reason
+            FROM silver WHERE {column} < 0""")
     for service in ("yellow", "green", "fhvhv"):
         found[f"conform_{service}"] = _q(f"SELECT * FROM conformed WHERE service_type = '{service}'")
     for rule in _RULES:

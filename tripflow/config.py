@@ -19,6 +19,10 @@ class Thresholds:
     payment_types: tuple[int, ...] = (1, 2, 3, 4, 5, 6)
     min_passengers: int = 0
     max_passengers: int = 9
+    min_duration: float = 0.0
+    min_fare: float = 0.0
+    min_total: float = 0.0
+    min_distance: float = 0.0
     max_rejection_pct: float = 80.0
 
     def as_text(self) -> dict[str, object]:
@@ -70,6 +74,10 @@ _THRESHOLD_NAMES = {
     "valid_payment_types": "payment_types",
     "min_passengers": "min_passengers",
     "max_passengers": "max_passengers",
+    "min_trip_duration_minutes": "min_duration",
+    "min_fare_amount": "min_fare",
+    "min_total_amount": "min_total",
+    "min_trip_distance": "min_distance",
     "max_rejection_pct": "max_rejection_pct",
 }
 

@@ -303,6 +303,30 @@ OPT_IN_RULES = (
         "passenger_count < {min_passengers} OR passenger_count > {max_passengers}",
         "Passenger count outside the configured range",
     ),
+    Rule(
+        "CFG-MIN-DURATION", "duration_below_minimum", "trip_duration_minutes", "SILVER", "DURATION_BELOW_MINIMUM", "LOW",
+        "trip_duration_minutes < {min_duration}",
+        "trip_duration_minutes < {min_duration}",
+        "Duration below the configured minimum",
+    ),
+    Rule(
+        "CFG-MIN-FARE", "fare_below_minimum", "fare_amount", "SILVER", "FARE_BELOW_MINIMUM", "LOW",
+        "fare_amount < {min_fare}",
+        "fare_amount < {min_fare}",
+        "Fare below the configured minimum",
+    ),
+    Rule(
+        "CFG-MIN-TOTAL", "total_below_minimum", "total_amount", "SILVER", "TOTAL_BELOW_MINIMUM", "LOW",
+        "total_amount < {min_total}",
+        "total_amount < {min_total}",
+        "Total below the configured minimum",
+    ),
+    Rule(
+        "CFG-MIN-DISTANCE", "distance_below_minimum", "trip_distance", "SILVER", "DISTANCE_BELOW_MINIMUM", "LOW",
+        "trip_distance < {min_distance}",
+        "trip_distance < {min_distance}",
+        "Distance below the configured minimum",
+    ),
 )
 
 # --- Fixed values: file audit -----------------------------------------------------------------

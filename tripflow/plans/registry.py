@@ -669,5 +669,6 @@ def queries() -> dict[str, Query]:
     found |= {f"reject_{r.rule_id.lower().replace('-', '_')}": _rule_query(r) for r in RULES}
     found |= {f"flag_{r.rule_id.lower().replace('-', '_')}": _flag_query(r) for r in quality.marking_rules(LIMITS)}
     checks = {"CFG-PAYMENT": "payment_type_check", "CFG-PASSENGERS": "passenger_count_check"}
+    checks |= {f"CFG-MIN-{name.upper()}": f"minimum_{name}_check" for name in ("duration", "fare", "total", "distance")}
     found |= {checks[r.rule_id]: _opt_in_query(r) for r in quality.opt_in_rules(LIMITS)}
     return found
