@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
-from .vectors import blocks, matrix, rotation, usable
+from .vectors import matrix, rotation, usable
 
 K = 10
 EVERY = 100

@@ -1,9 +1,7 @@
-"""Vectors as matrices: which rows take part, and blocks of rows."""
+"""Vectors as matrices, and which rows take part."""
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +26,3 @@ def rotation(dim: int, seed: int) -> np.ndarray:
     """A random orthogonal matrix, the same everywhere for a seed."""
     q, r = np.linalg.qr(np.random.default_rng([seed, dim]).standard_normal((dim, dim)))
     return q * np.sign(np.diag(r))
-
-
-def blocks(rows: int, size: int) -> int:
-    """Number of blocks of about `size` rows."""
-    return max(1, math.ceil(rows / size))
