@@ -161,3 +161,12 @@ def test_mart_totals_equal_gold(layers):
     for mart in (marts.gold_daily_revenue(gold), marts.gold_location_performance(gold)):
         revenue = F.sum(F.col("total_revenue").cast("decimal(18,2)")).cast("double")
         assert tuple(mart.agg(F.sum("total_trips"), revenue).first()) == tuple(expected)
+
+
+def test_tasks_stay_small_however_large_the_input(layers, spark):
+    bronze, _ = layers
+    registry.adopt(spark)
+    plan = plan_of(enrich.dedup_trips(enrich.normalize(bronze)))
+    assert int(re.search(r"hashpartitioning\(trip_id#\d+, (\d+)\)", plan).group(1)) >= 600
+    for size in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"):
+        assert int(spark.conf.get(size).rstrip("mb")) <= 16 * (1 if spark.conf.get(size).endswith("m") else 2**20)
