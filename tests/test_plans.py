@@ -170,3 +170,13 @@ def test_tasks_stay_small_however_large_the_input(layers, spark):
     assert int(re.search(r"hashpartitioning\(trip_id#\d+, (\d+)\)", plan).group(1)) >= 600
     for size in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"):
         assert int(spark.conf.get(size).rstrip("mb")) <= 16 * (1 if spark.conf.get(size).endswith("m") else 2**20)
+
+
+def test_raw_files_come_from_one_join(spark, monkeypatch):
+    made, build = [], registry.fixture.lines_with_orders
+    monkeypatch.setattr(registry.fixture, "lines_with_orders", lambda *a, **k: made.append(k) or build(*a, **k))
+    monkeypatch.setattr(registry, "_raw_roots", {})
+    registry.raw_files(spark, "/root/testdata/sf0.001")
+    assert made == [{"by_delivery": True}]
+    laid_out = registry.fixture.derive(build(spark, "/root/testdata/sf0.001", by_delivery=True))
+    assert sorted(rows(laid_out), key=str) == sorted(rows(registry.fixture.trips(spark, "/root/testdata/sf0.001")), key=str)

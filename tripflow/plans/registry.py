@@ -115,8 +115,11 @@ def raw_files(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _raw_roots:
         return _raw_roots[key]
-    root = scratch(spark, "raw")
-    bronze = fixture.trips(spark, sf_dir)
+    root, stored = scratch(spark, "raw"), scratch(spark, "lines")
+    # joined and laid out once, as narrow as they are; every feed is then written from that without a shuffle
+    lines = fixture.lines_with_orders(spark, sf_dir, by_delivery=True)
+    write_layer(lines, stored, ("service_type", "source_file"))
+    bronze = fixture.derive(spark.read.schema(lines.schema).parquet(stored))
     delivered = {
         "year": F.regexp_extract("source_file", r"_(\d{4})-\d{2}\.", 1),
         "month": F.regexp_extract("source_file", r"-(\d{2})\.", 1),
@@ -124,15 +127,13 @@ def raw_files(spark: SparkSession, sf_dir: str) -> str:
     for service in C.SERVICES:
         feed = fixture.raw_feed(bronze, service).withColumns(delivered).drop("source_file", "ingestion_timestamp")
         drifted = F.col("year") == {"green": "2025", "yellow": "2024"}.get(service, "none")
-        write_layer(feed.filter(~drifted), f"{root}/{service}", ("year", "month"), cluster=True)
+        write_layer(feed.filter(~drifted), f"{root}/{service}", ("year", "month"))
         late = feed.filter(drifted)
         if service == "green":
-            write_layer(late.drop("total_amount"), f"{root}/drift/green", ("year", "month"), cluster=True)
+            write_layer(late.drop("total_amount"), f"{root}/drift/green", ("year", "month"))
         elif service == "yellow":
             late = late.withColumn("VendorID", F.col("VendorID").cast("int")).drop("Airport_fee")
-            write_layer(
-                late.withColumn("cbd_fee", F.lit(0.75)), f"{root}/drift/yellow", ("year", "month"), cluster=True
-            )
+            write_layer(late.withColumn("cbd_fee", F.lit(0.75)), f"{root}/drift/yellow", ("year", "month"))
     files.write_bytes(f"{root}/bad_parquet/wrong_magic.parquet", b"not a parquet file " * 20)
     files.write_bytes(f"{root}/bad_parquet/empty.parquet", b"")
     _raw_roots[key] = root

@@ -24,30 +24,52 @@ def _null_every(n: int, value: Column) -> Column:
     return F.when(F.col("l_partkey") % n != 0, value)
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical bronze trips (27 columns) over lineitem and orders."""
+def line_count(spark: SparkSession, sf_dir: str) -> int:
+    """How many line items there are, from the footers."""
+    return spark.read.schema(LINE_DDL).parquet(f"{sf_dir}/lineitem.parquet").count()
+
+
+def lines_with_orders(spark: SparkSession, sf_dir: str, by_delivery: bool = False) -> DataFrame:
+    """The line items that trips are made of, with the feed and the delivery of their order; some arrive twice.
+
+    No wider than what trips are derived from, so this is what to store; by_delivery lays it out by feed and month, and
+    shuffles both as numbers.
+    """
     lines = spark.read.schema(LINE_DDL).parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.schema(ORDER_DDL).parquet(f"{sf_dir}/orders.parquet")
-    part, supp, number = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    fare = F.floor(F.col("l_extendedprice") / 10) / 100.0 - 1
-    tip = F.floor(F.col("l_discount") * F.col("l_extendedprice") / 80 * 100) / 100.0
-    tolls = F.floor(F.col("l_tax") * 1000) / 100.0
     # two fact tables: a merge join at every scale, whose skewed keys adaptive execution splits
     joined = lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey)
-    based = joined.select(
-        "*",
-        F.element_at(F.array(*[F.lit(s) for s in C.SERVICES]), (F.col("o_custkey") % 3 + 1).cast("int")).alias(
-            "service_type"
-        ),
+    used = [c for c in lines.columns if c != "l_orderkey"]
+    found = joined.select(
+        *used,
+        (F.col("o_custkey") % 3 + 1).cast("int").alias("feed"),
         F.expr("o_orderdate + INTERVAL 24 YEARS").alias("base_ts"),
-        F.expr("timestampadd(MINUTE, l_partkey % 1440, o_orderdate + INTERVAL 24 YEARS)").alias("start_ts"),
-        # some line items arrive twice
         F.explode(
-            F.when((F.col("l_orderkey") % 97 == 0) & (number == 1), F.array(F.lit(1), F.lit(2))).otherwise(
+            F.when((F.col("l_orderkey") % 97 == 0) & (F.col("l_linenumber") == 1), F.array(F.lit(1), F.lit(2))).otherwise(
                 F.array(F.lit(1))
             )
         ).alias("copy"),
-    )
+    ).drop("copy")
+    if by_delivery:
+        month = F.year("base_ts") * 12 + F.month("base_ts")
+        found = found.withColumn("delivered", month).hint("rebalance", "feed", "delivered").drop("delivered")
+    service = F.element_at(F.array(*[F.lit(s) for s in C.SERVICES]), F.col("feed"))
+    source_file = F.concat("service_type", F.lit("_tripdata_"), F.substring(F.col("base_ts").cast("string"), 1, 7), F.lit(".parquet"))
+    return found.withColumn("service_type", service).withColumn("source_file", source_file).drop("feed")
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical bronze trips (27 columns) over lineitem and orders."""
+    return derive(lines_with_orders(spark, sf_dir))
+
+
+def derive(lines: DataFrame) -> DataFrame:
+    """The trips of lines_with_orders; map-only."""
+    part, supp, number = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    fare = F.floor(F.col("l_extendedprice") / 10) / 100.0 - 1
+    tip = F.floor(F.col("l_discount") * F.col("l_extendedprice") / 80 * 100) / 100.0
+    tolls = F.floor(F.col("l_tax") * 1000) / 100.0
+    based = lines.withColumn("start_ts", F.expr("timestampadd(MINUTE, l_partkey % 1440, base_ts)"))
     end_ts = F.expr("timestampadd(MINUTE, (l_suppkey * 7 + l_partkey) % 520 - 20, start_ts)")
     pickup = _null_every(211, F.col("start_ts").cast("timestamp"))
     pickup_zone = _null_every(227, part % 265 + 1)
@@ -79,7 +101,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trip_type": F.when(green, 1.0),
         "year": F.year(pickup),
         "month": F.month(pickup),
-        "source_file": F.concat("service_type", F.lit("_tripdata_"), F.substring(F.col("base_ts").cast("string"), 1, 7), F.lit(".parquet")),
+        "source_file": F.col("source_file"),
         "ingestion_timestamp": F.lit(INGESTED_AT).cast("timestamp"),
         "quality_status": F.lit(" pending "),
     }
