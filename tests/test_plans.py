@@ -180,3 +180,17 @@ def test_raw_files_come_from_one_join(spark, monkeypatch):
     assert made == [{"by_delivery": True}]
     laid_out = registry.fixture.derive(build(spark, "/root/testdata/sf0.001", by_delivery=True))
     assert sorted(rows(laid_out), key=str) == sorted(rows(registry.fixture.trips(spark, "/root/testdata/sf0.001")), key=str)
+
+
+def test_silver_is_deduplicated_and_laid_out_by_one_shuffle(layers, tmp_path):
+    bronze, _ = layers
+    odd = bronze.withColumn("service_type", F.expr("CASE WHEN payment_type = 2 THEN NULL WHEN payment_type = 3 THEN 'a|b' ELSE service_type END"))
+    twice = odd.union(odd.where("payment_type < 5").withColumn("tip_amount", F.col("tip_amount") - 1)).withColumn("service_type", F.expr("if(tip_amount < 3, coalesce(service_type, ''), service_type)"))
+    day = F.lit("2024-01-01").cast("date")
+    for records in (1, 3 * enrich.ROWS_PER_SHARE):
+        placed = enrich.to_silver(twice, processing_date=day, records=records)
+        assert nodes(placed, "Exchange") == 1
+        assert sorted(rows(placed), key=str) == sorted(rows(enrich.to_silver(twice, processing_date=day)), key=str)
+    write_layer(placed, str(tmp_path / "silver"), ("service_type", "year", "month"))
+    written = list((tmp_path / "silver").glob("**/*.parquet"))
+    assert written and all(f.name.endswith(".zstd.parquet") for f in written)

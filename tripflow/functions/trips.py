@@ -11,10 +11,20 @@ from ..config import Thresholds
 from ..contracts import AIRPORT_LOCATION_IDS, SUSPICIOUS_CONDITIONS, TRIP_KEY
 
 
+def _key_text() -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TRIP_KEY])
+
+
 def trip_id() -> Column:
     """SHA-256 of the '|'-joined business key; a NULL part counts as ''."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TRIP_KEY]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    return F.sha2(_key_text(), 256)
+
+
+def trip_place(shares: int) -> Column:
+    """Number for service, month of pickup and one of `shares` shares, from the text that trip_id digests: equal ids, equal
+    places. Places may share a number."""
+    service_and_month = F.regexp_extract(_key_text(), r"(?s)^([^|]*\|[^|]{0,7})", 1)
+    return F.xxhash64(service_and_month, F.pmod(F.xxhash64(_key_text()), F.lit(shares)))
 
 
 def trip_duration_minutes() -> Column:

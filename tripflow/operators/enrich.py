@@ -59,16 +59,40 @@ def _keep_order(columns: list[str]) -> list[str]:
     return ["ingestion_timestamp", *lead, *[c for c in rest if c not in lead]]
 
 
+def _in_keep_order(df: DataFrame) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in _keep_order(df.columns)]
+
+
 def dedup_trips(df: DataFrame) -> DataFrame:
     """One row per trip_id.
 
     `row_number() = 1` lets Spark keep one row per key inside each map task before the shuffle
     (WindowGroupLimit), so a key with very many copies never reaches one task as a whole.
     """
-    by_trip = Window.partitionBy("trip_id").orderBy(*[F.col(c).asc_nulls_first() for c in _keep_order(df.columns)])
+    by_trip = Window.partitionBy("trip_id").orderBy(*_in_keep_order(df))
     return df.withColumn("_n", F.row_number().over(by_trip)).filter("_n = 1").drop("_n")
 
 
+#: Rows of the input for which each period gets one more share, a part of its trips with a task and files of its own. A
+#: period that holds all the input so has about this many rows a task; more shares are more files.
+ROWS_PER_SHARE = 20_000_000
+
+
+def dedup_by_period(bronze: DataFrame, records: int) -> DataFrame:
+    """The rows of dedup_trips over normalize, each period in a few tasks, so that it is written without another shuffle.
+
+    `records` is how many rows there are, more or less: only the layout depends on it. Copies of a trip share their place. Rows are shuffled once, without the trip id (its hex digits are a third of a row) and
+    without what else the key gives; copies are dropped behind that shuffle.
+    """
+    place = trips.trip_place(1 + records // ROWS_PER_SHARE)
+    cleaned = bronze.withColumns({**_strings(bronze), **_amounts(bronze), "_place": place})
+    placed = cleaned.drop("trip_id", "year", "month").repartition("_place")
+    rest = placed.withColumns({**_period(), "trip_id": trips.trip_id()})
+    by_trip = Window.partitionBy("_place", "trip_id").orderBy(*_in_keep_order(rest))
+    kept = rest.withColumn("_n", F.row_number().over(by_trip)).filter("_n = 1")
+    return kept.select(*normalize(bronze).columns)
+
+
 def survivors(df: DataFrame) -> DataFrame:
     """The rows of dedup_trips, each with `copies`, how many rows its trip_id arrived in.
 
@@ -136,11 +160,12 @@ def with_metrics(df: DataFrame, limits: Thresholds = Thresholds(), **more: Colum
 
 
 def to_silver(
-    bronze: DataFrame, limits: Thresholds = Thresholds(), processing_date: Column | None = None
+    bronze: DataFrame, limits: Thresholds = Thresholds(), processing_date: Column | None = None, records: int | None = None
 ) -> DataFrame:
-    """The whole enrichment. `processing_date` defaults to today."""
+    """The whole enrichment. `processing_date` defaults to today. Given the number of `records`, the rows come in the layout
+    of the layer, by period."""
     day = F.current_date() if processing_date is None else processing_date
-    kept = bronze.transform(normalize).transform(dedup_trips)
+    kept = bronze.transform(normalize).transform(dedup_trips) if records is None else dedup_by_period(bronze, records)
     return with_metrics(kept, limits, processing_date=day)
 
 

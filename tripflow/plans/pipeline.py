@@ -156,7 +156,7 @@ def to_bronze(spark: SparkSession, settings: Settings, inventory: DataFrame, pro
 
 
 def to_silver(spark: SparkSession, settings: Settings, bronze: DataFrame, periods: set[str] | None = None) -> dict:
-    """Phase 4: enrichment and deduplication, then one shuffle into the partition layout.
+    """Phase 4: enrichment and deduplication, in one shuffle that brings the partition layout as well.
 
     Copies of a trip share its period, so an incremental run does this for the periods it has added to only.
     """
@@ -164,14 +164,16 @@ def to_silver(spark: SparkSession, settings: Settings, bronze: DataFrame, period
         in_period = [F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_FOLDER))) for c in PERIOD])]
         bronze = bronze.where(in_period[0].isin(*sorted(periods)))
     # periods of silver come from the pickup, as those of bronze
-    silver = enrich.to_silver(bronze, settings.thresholds)
+    records_in = bronze.count()  # from the footers
+    silver = enrich.to_silver(bronze, settings.thresholds, records=records_in)
     path = settings.layer("silver")
     commit_layer(
-        silver, path, PERIOD, by_partition=True, only=periods, cluster=True, max_records_per_file=settings.max_records_per_file
+        silver, path, PERIOD, by_partition=True, only=periods, sort_by=("pickup_datetime",),
+        max_records_per_file=settings.max_records_per_file,
     )
     written = read_layer(spark, path, schema=silver.schema, keys=periods)
     facts = {
-        "records_in": bronze.count(),
+        "records_in": records_in,
         **written.agg(  # two columns of what was written
             F.count(F.lit(1)).alias("records_out"),
             F.count_if("is_suspicious_trip").alias("suspicious_trips"),
@@ -200,8 +202,8 @@ def to_gold(spark: SparkSession, settings: Settings, silver: DataFrame, process_
 
     size = {"max_records_per_file": settings.max_records_per_file}
     trips = write("gold_trips_clean", marts.gold_trips_clean(valid), sort_by=("pickup_datetime",), **size)
-    # each input task rejects a few rows; rebalancing them avoids one small file per task
-    stored_evidence = write("quality_rejected_records", evidence, cluster=True, **size)
+    # a task reads many small files or a part of a large one, so its evidence is no smaller a file than those of the trips
+    stored_evidence = write("quality_rejected_records", evidence, **size)
     write("gold_daily_revenue", marts.gold_daily_revenue(trips), cluster=True)
     write("gold_location_performance", marts.gold_location_performance(trips), cluster=True)
     commit_run(reports.trip_sketches(trips), settings.layer("audit", "trip_sketches"), process_id, cluster=True)

@@ -60,7 +60,9 @@ class Flow:
     def with_stored_silver(self) -> Flow:
         """This flow with silver written once, by period; what follows reads it."""
         target, flow = scratch(self.spark, "silver"), Flow(self.spark, self.sf_dir)
-        write_layer(self.silver(), target, ("service_type", "year", "month"), cluster=True)
+        records = fixture.line_count(self.spark, self.sf_dir)
+        silver = enrich.to_silver(self.bronze(), LIMITS, F.lit("2024-01-01").cast("date"), records)
+        write_layer(silver, target, ("service_type", "year", "month"), sort_by=("pickup_datetime",))
         flow.silver = lambda: self.spark.read.schema(self.silver().schema).parquet(target)
         return flow
 

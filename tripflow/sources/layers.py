@@ -120,6 +120,7 @@ def write_layer(
     if sort_by:
         df = df.sortWithinPartitions(*columns, *sort_by)
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    writer = writer.option("compression", "zstd")  # trip ids are hex digits, which it halves
     writer = writer.option("partitionOverwriteMode", "static")
     if columns:
         writer = writer.partitionBy(*columns)
