@@ -194,3 +194,13 @@ def test_silver_is_deduplicated_and_laid_out_by_one_shuffle(layers, tmp_path):
     write_layer(placed, str(tmp_path / "silver"), ("service_type", "year", "month"))
     written = list((tmp_path / "silver").glob("**/*.parquet"))
     assert written and all(f.name.endswith(".zstd.parquet") for f in written)
+
+
+def test_lines_of_no_known_customer_are_in_no_delivery(spark, tmp_path):
+    tables = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{tables}/orders.parquet")
+    orders.withColumn("o_custkey", F.expr("if(o_orderkey % 2 = 0, NULL, o_custkey)")).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.read.parquet(f"{tables}/lineitem.parquet").write.parquet(str(tmp_path / "lineitem.parquet"))
+    known = registry.fixture.lines_with_orders(spark, tables).select("l_partkey").count()
+    delivered = registry.fixture.lines_with_orders(spark, str(tmp_path), by_delivery=True).count()
+    assert 0 < delivered < known

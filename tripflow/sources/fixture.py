@@ -32,17 +32,21 @@ def line_count(spark: SparkSession, sf_dir: str) -> int:
 def lines_with_orders(spark: SparkSession, sf_dir: str, by_delivery: bool = False) -> DataFrame:
     """The line items that trips are made of, with the feed and the delivery of their order; some arrive twice.
 
-    No wider than what trips are derived from, so this is what to store; by_delivery lays it out by feed and month, and
-    shuffles both as numbers.
+    No wider than what trips are derived from, so this is what to store; by_delivery lays it out by feed and month, for
+    deliveries: without the lines of orders that no customer, so no feed, is known of.
     """
     lines = spark.read.schema(LINE_DDL).parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.schema(ORDER_DDL).parquet(f"{sf_dir}/orders.parquet")
     # two fact tables: a merge join at every scale, whose skewed keys adaptive execution splits
     joined = lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey)
+    if by_delivery:
+        joined = joined.filter("o_custkey IS NOT NULL")
     used = [c for c in lines.columns if c != "l_orderkey"]
     found = joined.select(
         *used,
-        (F.col("o_custkey") % 3 + 1).cast("int").alias("feed"),
+        F.element_at(F.array(*[F.lit(s) for s in C.SERVICES]), (F.col("o_custkey") % 3 + 1).cast("int")).alias(
+            "service_type"
+        ),
         F.expr("o_orderdate + INTERVAL 24 YEARS").alias("base_ts"),
         F.explode(
             F.when((F.col("l_orderkey") % 97 == 0) & (F.col("l_linenumber") == 1), F.array(F.lit(1), F.lit(2))).otherwise(
@@ -50,12 +54,9 @@ def lines_with_orders(spark: SparkSession, sf_dir: str, by_delivery: bool = Fals
             )
         ).alias("copy"),
     ).drop("copy")
-    if by_delivery:
-        month = F.year("base_ts") * 12 + F.month("base_ts")
-        found = found.withColumn("delivered", month).hint("rebalance", "feed", "delivered").drop("delivered")
-    service = F.element_at(F.array(*[F.lit(s) for s in C.SERVICES]), F.col("feed"))
     source_file = F.concat("service_type", F.lit("_tripdata_"), F.substring(F.col("base_ts").cast("string"), 1, 7), F.lit(".parquet"))
-    return found.withColumn("service_type", service).withColumn("source_file", source_file).drop("feed")
+    found = found.withColumn("source_file", source_file)
+    return found.hint("rebalance", "service_type", "source_file") if by_delivery else found
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
